@@ -52,17 +52,23 @@ def upsert(
 ) -> DataFrame:
     """Replace rows of equal key and add the rest; the latest row of the delta wins.
 
-    Columns that only one side has are kept and read NULL on the other (appended columns).
-    ``small_delta`` tells that the delta's size has been checked and may be broadcast.
+    ``existing`` holds one row per key. Columns that only one side has are kept and read
+    NULL on the other (appended columns).
+
+    ``small_delta`` tells that the delta's size has been checked: its keys are broadcast and
+    the existing rows stay where they are. Otherwise both sides go through one shuffle by
+    key, in which a row of the delta ranks before an existing one.
     """
-    newest = last_per_key(delta, keys, order) if order else delta
     if existing is None:
-        return newest
-    replaced = newest.select(*keys)
+        return last_per_key(delta, keys, order)
     if small_delta:
-        replaced = F.broadcast(replaced)
-    untouched = existing.join(replaced, list(keys), "left_anti")
-    return untouched.unionByName(newest, allowMissingColumns=True)
+        newest = last_per_key(delta, keys, order)
+        untouched = existing.join(F.broadcast(newest.select(*keys)), list(keys), "left_anti")
+        return untouched.unionByName(newest, allowMissingColumns=True)
+    both = existing.withColumn("_fresh", F.lit(False)).unionByName(
+        delta.withColumn("_fresh", F.lit(True)), allowMissingColumns=True
+    )
+    return last_per_key(both, keys, ["_fresh", *order]).drop("_fresh")
 
 
 def since_watermark(

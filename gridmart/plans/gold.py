@@ -16,7 +16,6 @@ from gridmart.functions import (
     share_pct,
     yoy_change_pct,
 )
-from gridmart.operators.snapshots import newest_rows_per_key
 from gridmart.schemas import ENERGY, TONNES
 from gridmart.sources import dims
 
@@ -40,17 +39,19 @@ def latest_carbon(carbon: DataFrame, per_fuel: bool = False) -> DataFrame:
     """One row per fuel type: its readings on the newest day it has any.
 
     ``matches`` is the number of those readings (one per region); ``per_fuel`` counts them
-    as one averaged reading.
+    as one averaged reading. Days are summed up first and the newest day's sums are kept,
+    so the readings are read once and need no join with their own maximum.
     """
-    newest = newest_rows_per_key(carbon, ["fuel_type"], "reading_date")
-    matches = F.lit(1).cast("bigint") if per_fuel else F.count(F.lit(1))
-    return newest.groupBy(F.col("fuel_type").alias("carbon_fuel_type")).agg(
-        F.sum("avg_direct_co2_per_mwh").cast("decimal(12,4)").alias("direct_sum"),
-        mean("avg_direct_co2_per_mwh").alias("direct_mean"),
-        mean("avg_lifecycle_co2_per_mwh").alias("lifecycle_mean"),
+    direct, lifecycle = "avg_direct_co2_per_mwh", "avg_lifecycle_co2_per_mwh"
+    days = carbon.groupBy(F.col("fuel_type").alias("carbon_fuel_type"), "reading_date").agg(
+        F.sum(direct).cast("decimal(12,4)").alias("direct_sum"),
+        mean(direct).alias("direct_mean"),
+        mean(lifecycle).alias("lifecycle_mean"),
         F.count(F.lit(1)).alias("readings"),
-        matches.alias("matches"),
     )
+    newest = F.max_by(F.struct("direct_sum", "direct_mean", "lifecycle_mean", "readings"), "reading_date")
+    rows = days.groupBy("carbon_fuel_type").agg(newest.alias("newest")).select("carbon_fuel_type", "newest.*")
+    return rows.withColumn("matches", F.lit(1).cast("bigint") if per_fuel else F.col("readings"))
 
 
 def generation_by_fuel(

@@ -1,14 +1,17 @@
 """Session settings, the shared work folder and small file-system helpers."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str = "gridmart", cores: str = "*", partitions: int = 8) -> SparkSession:
+def local_session(
+    name: str = "gridmart", cores: str = "*", partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -16,8 +19,10 @@ def local_session(name: str = "gridmart", cores: str = "*", partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,9 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="gridmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="gridmart-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -456,8 +456,12 @@ _PARTS["late_daily"] = _daily_market("late_market")
 _PARTS["whole_daily"] = _daily_market("raw_market")
 
 
+def _timed(part: str) -> str:
+    return f"(select * replace (cast(recorded_at as timestamp) as recorded_at) from {part})"
+
+
 def _merged(fresh: str) -> str:
-    return f"""(select * from {fresh} union all by name select * from stored_market s
+    return f"""(select f.* from {fresh} f union all by name select * from stored_market s
         where not exists (select 1 from {fresh} n
                           where n.region = s.region and n.reading_date = s.reading_date))"""
 
@@ -603,6 +607,12 @@ _TEXTS: dict[str, str] = {
     "l7_audit_state": """select * from raw_audit
         qualify row_number() over (partition by run_id, asset_name
             order by completed_at is not null desc, completed_at desc nulls last, id desc) = 1""",
+    "j3_newest_per_fuel": _doubles("carbon_newest", _CARBON_NUMBERS),
+    "k5_newest_readings": _doubles(
+        f"{_timed('raw_market')} m",
+        _RAW_MARKET_NUMBERS,
+        "where recorded_at = (select max(recorded_at) from raw_market)",
+    ),
     "s1_bronze_views": "\nunion all ".join(_bronze_line(v, t) for v, t in BRONZE_VIEWS.items()),
     "s9_period_facets": _doubles(
         "raw_generation",
@@ -664,14 +674,14 @@ _TEXTS: dict[str, str] = {
         from records where {_BAD_PERIOD} or {_BAD_PRICE} or {_BAD_CUSTOMERS}""",
     "l8_flatten": _FORECAST_POINTS,
     "u1_upsert": _UPSERTED,
-    "u2_watermark": _doubles("late_market", _RAW_MARKET_NUMBERS),
+    "u2_watermark": _doubles(f"{_timed('late_market')} m", _RAW_MARKET_NUMBERS),
     "u5_lookback": _doubles(
-        "raw_market",
+        f"{_timed('raw_market')} m",
         _RAW_MARKET_NUMBERS,
         f"where ingested_at > (select max(ingested_at) from stored_market) - interval {q.LOOKBACK_DAYS} day",
     ),
     "u1_replace_delta": _doubles(f"{_merged('late_daily')} m", _MARKET_NUMBERS),
-    "u1_recompute_touched": _doubles(f"{_merged(_TOUCHED + ' t')} m", _MARKET_NUMBERS),
+    "u1_recompute_touched": _doubles(f"{_merged(_TOUCHED)} m", _MARKET_NUMBERS),
     "d_raw_quality": _checks(quality.RAW_CHECKS, _RAW_PARTS),
     "d_bronze_quality": _checks(
         quality.BRONZE_CHECKS, {view: _RAW_PARTS[table] for view, table in BRONZE_VIEWS.items()}

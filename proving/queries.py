@@ -21,6 +21,7 @@ from gridmart.functions import (
 from gridmart.operators import merge, quality
 from gridmart.operators.audit import current_state
 from gridmart.operators.horizon import hourly_spine
+from gridmart.operators.snapshots import newest_rows, newest_rows_per_key
 from gridmart.plans import gold, reports, silver
 from gridmart.sources import dims, landing
 from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page
@@ -274,6 +275,20 @@ def l7_audit_state(spark, folder):
     return current_state(adapters.raw(spark, folder, schemas.AUDIT), ["run_id", "asset_name"])
 
 
+# ---- snapshots ---------------------------------------------------------------------------
+
+
+@_query
+def j3_newest_per_fuel(spark, folder):
+    """Daily carbon rows of each fuel's newest day, one per region."""
+    return newest_rows_per_key(_silver(spark, folder, "silver_carbon_reference"), ["fuel_type"], "reading_date")
+
+
+@_query
+def k5_newest_readings(spark, folder):
+    return newest_rows(_bronze(spark, folder, "bronze_market_prices"), "recorded_at")
+
+
 # ---- scans and dimensions ----------------------------------------------------------------
 
 
@@ -398,8 +413,10 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(value.isNotNull(), F.concat(F.lit(f'"{name}": "'), value, F.lit('"')))
         for name, value in fields.items()
     ]
-    text = F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
-    return events.select("event_id", F.from_json(text, "map<string,string>").alias("record"))
+    head, tail = F.lit('{"response": {"total": 1, "data": [{'), F.lit("}]}}")
+    text = F.concat(head, F.concat_ws(", ", *pairs), tail)
+    pages = events.select("event_id", F.from_json(text, landing.PAGE_SCHEMA).alias("page"))
+    return pages.select("event_id", F.explode("page.response.data").alias("record"))
 
 
 @_query
@@ -624,9 +641,14 @@ def p15_safe_divide(spark, folder):
 # ---- streams -----------------------------------------------------------------------------
 
 
+def _file(folder: str, table: str) -> str:
+    """A pattern that names the table whether it is one file or a folder of files."""
+    return f"{folder}/{table}.parquet*"
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = adapters.given(spark, folder, "events").schema
-    return streams.stream_table(spark, schema, f"{folder}/events.parquet")
+    return streams.stream_table(spark, schema, _file(folder, "events"))
 
 
 def _market_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -658,7 +680,7 @@ def x2_stream_daily(spark, folder):
 def x3_stream_insert(spark, folder):
     base = session.scratch_path(spark, "x3")
     schema = adapters.given(spark, folder, "lineitem").schema
-    lines = streams.stream_table(spark, schema, f"{folder}/lineitem.parquet")
+    lines = streams.stream_table(spark, schema, _file(folder, "lineitem"))
     rows = spark.sql(adapters.GENERATION, lineitem=lines)
     rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
     renamed = rows.withColumnRenamed("id", "seq")
