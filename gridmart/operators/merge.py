@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import schemas, session
-from gridmart.operators.snapshots import first_per_key, last_per_key
+from gridmart.operators.snapshots import first_per_key, having, lacking, last_per_key
 from gridmart.sources.raw import column_names, read_raw
 from gridmart.sources.sinks import append_table, read_table
 
@@ -40,7 +40,7 @@ def insert_new(
         high = delta.select(F.max(range_column)).scalar()
         loaded = loaded.filter(F.col(range_column).between(low, high))
     fresh = first_per_key(delta, keys, order)
-    return fresh.join(loaded.select(*keys).distinct(), list(keys), "left_anti")
+    return lacking(fresh, loaded.select(*keys).distinct(), keys)
 
 
 def upsert(
@@ -63,7 +63,7 @@ def upsert(
         return last_per_key(delta, keys, order)
     if small_delta:
         newest = last_per_key(delta, keys, order)
-        untouched = existing.join(F.broadcast(newest.select(*keys)), list(keys), "left_anti")
+        untouched = lacking(existing, F.broadcast(newest.select(*keys)), keys)
         return untouched.unionByName(newest, allowMissingColumns=True)
     both = existing.withColumn("_fresh", F.lit(False)).unionByName(
         delta.withColumn("_fresh", F.lit(True)), allowMissingColumns=True
@@ -110,7 +110,7 @@ def recompute_touched(
     last = delta.select(F.max(day)).scalar()
     span = source.filter((day >= first) & (day <= last))
     touched = aggregate(delta).select(*keys)
-    return aggregate(span).join(touched, list(keys), "left_semi")
+    return having(aggregate(span), touched, keys)
 
 
 # ---- stored tables -----------------------------------------------------------------------
@@ -204,14 +204,15 @@ def _touched_partitions(existing: DataFrame, staged: DataFrame, column: str) ->
     listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
     if len(listed) <= LISTED_PARTITIONS:
         return existing.filter(F.col(column).isin(listed))
-    return existing.join(values, column, "left_semi")
+    return having(existing, values, [column])
 
 
 def surrogate_id(load_number: int) -> Column:
     """Unique ids for the rows of one load: load number, task and row, packed in one bigint.
 
     Numbering from the table's largest id would read that column of the whole table on every
-    load. Load numbers come from the audit log and grow by one, so ids still grow over time.
+    load. Load numbers come from the audit log and grow by one, so ids grow over time, and
+    within a load they follow the rows of each file when given before any shuffle.
     """
     place = F.monotonically_increasing_id()
     task = F.shiftright(place, 33)
@@ -237,13 +238,15 @@ def insert_into_table(
     is completed by loading it again: what it had stored is recognised by its key.
     """
     path, keys = f"{root}/{table}", schemas.LOAD_KEYS[table]
+    if "id" not in delta.columns:
+        delta = delta.withColumn("id", surrogate_id(load_number))
     if session.path_exists(spark, path):
         stored = read_raw(spark, table, root)
         fresh = insert_new(delta, stored, keys, order, range_column=partition_by)
     else:
         fresh = first_per_key(delta, keys, order)
     folder = session.scratch_path(spark, "insert")
-    fresh.withColumn("id", surrogate_id(load_number)).select(*column_names(table)).write.parquet(folder)
+    fresh.select(*column_names(table)).write.parquet(folder)
     staged = spark.read.parquet(folder)
     added = staged.count()
     if added:

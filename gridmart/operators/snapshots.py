@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def having(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key ``other`` has, with their columns in their own order."""
+    return df.join(other, list(keys), "left_semi").select(*df.columns)
+
+
+def lacking(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key ``other`` lacks, with their columns in their own order."""
+    return df.join(other, list(keys), "left_anti").select(*df.columns)
+
+
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # ``row_number() = 1`` keeps one row per key in every map task before the shuffle
     # (WindowGroupLimit), so a key that holds most of the rows moves one row per task.
@@ -46,4 +56,4 @@ def newest_rows_per_key(df: DataFrame, keys: Sequence[str], column: str) -> Data
     map-side instead and joined back.
     """
     newest = df.groupBy(*keys).agg(F.max(column).alias(column))
-    return df.join(newest, [*keys, column], "left_semi")
+    return having(df, newest, [*keys, column])

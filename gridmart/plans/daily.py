@@ -3,7 +3,7 @@
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import schemas, session
@@ -72,13 +72,10 @@ class Lake:
         self, table: str, normalised: DataFrame, run_id: str, ingested_at=None, strict: bool = False
     ) -> int:
         def load(good: DataFrame, number: int) -> int:
-            rows = landing.stamped(good, ingested_at).withColumn("id", merge.surrogate_id(number))
-            counted = rows.select(*column_names(table))
-            observed = F.count(F.lit(1)).alias("rows")
-            from pyspark.sql import Observation
-
+            rows = landing.stamped(good, ingested_at).select(*column_names(table))
             written = Observation(f"{table}_{number}")
-            append_table(counted.observe(written, observed), f"{self.raw}/{table}")
+            counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+            append_table(counted, f"{self.raw}/{table}")
             return written.get["rows"]
 
         return self._load(table, normalised, run_id, "enrichment_api", load, strict)
@@ -92,7 +89,7 @@ class Lake:
         load: Callable[[DataFrame, int], int],
         strict: bool,
     ) -> int:
-        """Stage the parsed rows once, set the rejected ones aside and load the others."""
+        """Stage the parsed and numbered rows, set the rejected ones aside, load the others."""
         if normalised.isEmpty():
             return 0
 
@@ -100,7 +97,7 @@ class Lake:
             if strict:
                 landing.strict(normalised).write.format("noop").mode("overwrite").save()
             folder = session.scratch_path(self.spark, f"parsed-{table}")
-            normalised.write.parquet(folder)
+            normalised.withColumn("id", merge.surrogate_id(number)).write.parquet(folder)
             parsed = self.spark.read.parquet(folder)
             bad = landing.rejected(parsed)
             if not bad.isEmpty():
@@ -111,12 +108,12 @@ class Lake:
 
         return self.audit.track(run_id, table, source, run)
 
-    def bronze(self, view: str) -> DataFrame:
+    def view(self, view: str) -> DataFrame:
         return bronze(read_raw(self.spark, BRONZE_VIEWS[view], self.raw), view)
 
     # ---- silver --------------------------------------------------------------------------
 
-    def silver(self, name: str) -> DataFrame:
+    def staged(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.staging}/{name}")
 
     def refresh_silver(
@@ -136,12 +133,12 @@ class Lake:
             raise ValueError(f"unknown incremental_mode: {incremental_mode}")
         model = silver.MODELS[name]
         target = merge.MergeTarget(f"{self.staging}/{name}", model.keys, model.order, model.partition_by)
-        source = self.bronze(model.source)
+        source = self.view(model.source)
         if full_refresh:
             built = merge.last_per_key(model.build(source), model.keys, model.order)
             partitions = [model.partition_by] if model.partition_by else []
             refresh_table(built, target.path, partitions)
-            return self.silver(name).count()
+            return self.staged(name).count()
         existing = merge.existing_table(self.spark, target)
         delta = merge.since_watermark(source, existing, lookback_days=lookback_days)
         if existing is not None and model.time_column and incremental_mode == "recompute_touched":
@@ -152,7 +149,7 @@ class Lake:
 
     # ---- gold ----------------------------------------------------------------------------
 
-    def gold(self, name: str) -> DataFrame:
+    def mart(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.analytics}/{name}")
 
     def refresh_gold(
@@ -163,14 +160,14 @@ class Lake:
         calendar: bool = False,
     ) -> None:
         """Rebuild the four marts, each from stored tables only."""
-        generation, prices = self.silver("silver_generation_cleaned"), self.silver("silver_prices_cleaned")
-        carbon, market = self.silver("silver_carbon_reference"), self.silver("silver_market_aggregated")
-        weather = self.silver("silver_weather_aggregated")
+        generation, prices = self.staged("silver_generation_cleaned"), self.staged("silver_prices_cleaned")
+        carbon, market = self.staged("silver_carbon_reference"), self.staged("silver_market_aggregated")
+        weather = self.staged("silver_weather_aggregated")
         self._store("gold_generation_by_fuel_monthly", gold.generation_by_fuel(generation, carbon, carbon_join, co2_divisor))
         self._store("gold_price_trends", gold.price_trends(prices, market, calendar))
-        self._store("gold_carbon_footprint", gold.carbon_footprint(self.gold("gold_generation_by_fuel_monthly")))
+        self._store("gold_carbon_footprint", gold.carbon_footprint(self.mart("gold_generation_by_fuel_monthly")))
         summary = gold.executive_summary(
-            self.gold("gold_carbon_footprint"), self.gold("gold_price_trends"), market, weather, dedupe_dims
+            self.mart("gold_carbon_footprint"), self.mart("gold_price_trends"), market, weather, dedupe_dims
         )
         self._store("gold_executive_summary", summary)
 
@@ -181,18 +178,18 @@ class Lake:
 
     def quality_report(self) -> DataFrame:
         tables = {name: read_raw(self.spark, name, self.raw) for name in quality.RAW_CHECKS}
-        tables |= {name: self.bronze(name) for name in quality.BRONZE_CHECKS}
-        tables |= {name: self.silver(name) for name in quality.SILVER_CHECKS}
-        tables |= {name: self.gold(name) for name in quality.GOLD_CHECKS}
+        tables |= {name: self.view(name) for name in quality.BRONZE_CHECKS}
+        tables |= {name: self.staged(name) for name in quality.SILVER_CHECKS}
+        tables |= {name: self.mart(name) for name in quality.GOLD_CHECKS}
         return quality.quality_report(tables)
 
     def reports(self, as_of_year: int, **since) -> dict[str, DataFrame]:
         return reports.all_reports(
-            self.gold("gold_generation_by_fuel_monthly"),
-            self.gold("gold_price_trends"),
-            self.gold("gold_carbon_footprint"),
-            self.gold("gold_executive_summary"),
-            self.silver("silver_market_aggregated"),
+            self.mart("gold_generation_by_fuel_monthly"),
+            self.mart("gold_price_trends"),
+            self.mart("gold_carbon_footprint"),
+            self.mart("gold_executive_summary"),
+            self.staged("silver_market_aggregated"),
             current_state(self.audit.read()),
             as_of_year,
             **since,
