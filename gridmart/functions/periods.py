@@ -16,7 +16,8 @@ def period_month(period: Column) -> Column:
 
 def period_date(period: Column) -> Column:
     """First day of the period; NULL for a month that does not exist."""
-    return F.concat(period, F.lit("-01")).try_cast("date")
+    month = period_month(period)
+    return F.when(month.between(1, 12), F.make_date(period_year(period), month, F.lit(1)))
 
 
 def code(value: Column) -> Column:

@@ -121,6 +121,16 @@ def _reasons(checks: dict[str, Column]) -> Column:
     return F.when(F.size(failed) > 0, F.array_join(failed, "; "))
 
 
+def _taken(rows: DataFrame, fields: dict[str, Column], kept: list[str]) -> DataFrame:
+    """The ``kept`` columns with ``fields`` beside them, each computed once per row.
+
+    The fields come out of a generator, which the optimizer does not dissolve: otherwise every
+    check, filter and output column would repeat the look-ups and casts it is made of.
+    """
+    row = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return rows.select(*kept, F.explode(F.array(row)).alias("_row")).select(*kept, "_row.*")
+
+
 def _unparsed(text: Column, value: Column) -> Column:
     return text.isNotNull() & value.isNull()
 
@@ -143,57 +153,65 @@ def bad_period(period: Column) -> Column:
 def normalise_generation(records: DataFrame, request_id: str | None = None) -> DataFrame:
     """Generation records to raw columns plus ``reject_reason`` (NULL = accepted)."""
     record = F.col("record")
-    raw = record["generation"]
-    rows = records.withColumns(
-        {
-            "period": record["period"],
-            "state_code": _first_filled(record, "location", "stateid", last_resort=F.lit("")),
-            "state_description": _first_filled(record, "stateDescription", "locationDescription"),
-            "sector_id": _first_filled(record, "sectorid", "sectorId", last_resort=F.lit("")),
-            "sector_description": record["sectorDescription"],
-            "fuel_type_code": _first_filled(record, "fueltypeid", "fuelTypeId", last_resort=F.lit("")),
-            "fuel_type_description": record["fuelTypeDescription"],
-            "generation_mwh": _number(raw, "decimal(18,4)"),
-            "generation_units": record["generation-units"],
-            "source": F.lit("eia_api"),
-            "api_request_id": F.lit(request_id).cast("string"),
-        }
-    )
-    checks = {
-        "bad period": bad_period(F.col("period")),
-        "bad generation": _unparsed(raw, F.col("generation_mwh")),
-        **_too_long(rows.columns),
+    fields = {
+        "period": record["period"],
+        "state_code": _first_filled(record, "location", "stateid", last_resort=F.lit("")),
+        "state_description": _first_filled(record, "stateDescription", "locationDescription"),
+        "sector_id": _first_filled(record, "sectorid", "sectorId", last_resort=F.lit("")),
+        "sector_description": record["sectorDescription"],
+        "fuel_type_code": _first_filled(record, "fueltypeid", "fuelTypeId", last_resort=F.lit("")),
+        "fuel_type_description": record["fuelTypeDescription"],
+        "generation_mwh": _number(record["generation"], "decimal(18,4)"),
+        "generation_units": record["generation-units"],
     }
-    return rows.withColumn("reject_reason", _reasons(checks))
+    texts = {"generation": ("generation_mwh", record["generation"])}
+    return _checked_records(records, fields, texts, request_id)
 
 
 def normalise_prices(records: DataFrame, request_id: str | None = None) -> DataFrame:
     """Price records to raw columns plus ``reject_reason`` (NULL = accepted)."""
     record = F.col("record")
-    numbers = {
-        "price_cents_per_kwh": (record["price"], _number(record["price"], "decimal(10,4)")),
-        "revenue_million_dollars": (record["revenue"], _number(record["revenue"], "decimal(18,4)")),
-        "sales_million_kwh": (record["sales"], _number(record["sales"], "decimal(18,4)")),
-        "customers": (record["customers"], _whole(record["customers"])),
+    fields = {
+        "period": record["period"],
+        "state_code": _first_filled(record, "stateid", "stateId", last_resort=F.lit("")),
+        "state_description": record["stateDescription"],
+        "sector_id": _first_filled(record, "sectorid", "sectorId", last_resort=F.lit("")),
+        "sector_name": record["sectorName"],
+        "price_cents_per_kwh": _number(record["price"], "decimal(10,4)"),
+        "revenue_million_dollars": _number(record["revenue"], "decimal(18,4)"),
+        "sales_million_kwh": _number(record["sales"], "decimal(18,4)"),
+        "customers": _whole(record["customers"]),
     }
-    rows = records.withColumns(
-        {
-            "period": record["period"],
-            "state_code": _first_filled(record, "stateid", "stateId", last_resort=F.lit("")),
-            "state_description": record["stateDescription"],
-            "sector_id": _first_filled(record, "sectorid", "sectorId", last_resort=F.lit("")),
-            "sector_name": record["sectorName"],
-            **{name: value for name, (_, value) in numbers.items()},
-            "source": F.lit("eia_api"),
-            "api_request_id": F.lit(request_id).cast("string"),
-        }
-    )
+    texts = {
+        "price": ("price_cents_per_kwh", record["price"]),
+        "revenue": ("revenue_million_dollars", record["revenue"]),
+        "sales": ("sales_million_kwh", record["sales"]),
+        "customers": ("customers", record["customers"]),
+    }
+    return _checked_records(records, fields, texts, request_id)
+
+
+def _checked_records(
+    records: DataFrame,
+    fields: dict[str, Column],
+    texts: dict[str, tuple[str, Column]],
+    request_id: str | None,
+) -> DataFrame:
+    """Add the fields and the verdict; ``texts`` names the number each text was parsed to."""
+    given = {f"_text_{name}": text for name, (_, text) in texts.items()}
+    rows = _taken(records, {**fields, **given}, records.columns)
     checks = {
         "bad period": bad_period(F.col("period")),
-        **{f"bad {name}": _unparsed(text, F.col(name)) for name, (text, _) in numbers.items()},
-        **_too_long(rows.columns),
+        **{f"bad {name}": _unparsed(F.col(f"_text_{name}"), F.col(number)) for name, (number, _) in texts.items()},
+        **_too_long(list(fields)),
     }
-    return rows.withColumn("reject_reason", _reasons(checks))
+    return rows.select(
+        *records.columns,
+        *fields,
+        F.lit("eia_api").alias("source"),
+        F.lit(request_id).cast("string").alias("api_request_id"),
+        _reasons(checks).alias("reject_reason"),
+    )
 
 
 def normalise_readings(readings: DataFrame, table: str) -> DataFrame:
@@ -218,20 +236,20 @@ def normalise_demand_forecast(forecasts: DataFrame) -> DataFrame:
 def _typed(rows: DataFrame, table: str, source: str) -> DataFrame:
     """Cast text columns to the raw types, noting what did not parse or broke a bound."""
     fields = [f for f in schemas.raw_schema(table) if f.name in rows.columns]
-    kept = [name for name in rows.columns if name not in {f.name for f in fields}]
-    checks, typed = {}, []
+    names = [f.name for f in fields]
+    kept = [name for name in rows.columns if name not in names]
+    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
+    given = {f"_text_{name}": F.col(name) for name in names}
+    taken = _taken(rows, {**values, **given}, kept)
+    checks = {}
     for field in fields:
-        value = F.col(field.name).try_cast(field.dataType)
-        typed.append(value.alias(field.name))
         if field.dataType.typeName() != "string":
-            checks[f"bad {field.name}"] = _unparsed(F.col(field.name), value)
+            checks[f"bad {field.name}"] = _unparsed(F.col(f"_text_{field.name}"), F.col(field.name))
         if field.name in schemas.REQUIRED[table]:
-            checks[f"no {field.name}"] = F.col(field.name).isNull()
+            checks[f"no {field.name}"] = F.col(f"_text_{field.name}").isNull()
     for name, (low, high) in READING_BOUNDS[table].items():
-        checks[f"{name} out of bounds"] = F.coalesce(
-            outside(F.col(name).try_cast("decimal(38,4)"), low, high), F.lit(False)
-        )
-    return rows.select(*kept, *typed, F.lit(source).alias("source"), _reasons(checks).alias("reject_reason"))
+        checks[f"{name} out of bounds"] = F.coalesce(outside(F.col(name), low, high), F.lit(False))
+    return taken.select(*kept, *names, F.lit(source).alias("source"), _reasons(checks).alias("reject_reason"))
 
 
 def outside(value: Column, low, high) -> Column:

@@ -438,7 +438,7 @@ _STATE_PRICE = "coalesce(nullif(stateid, ''), '')"
 _REASONS_GENERATION = f"""concat_ws('; ', case when {_BAD_PERIOD} then 'bad period' end,
     case when {_BAD_GENERATION} then 'bad generation' end)"""
 _REASONS_PRICES = f"""concat_ws('; ', case when {_BAD_PERIOD} then 'bad period' end,
-    case when {_BAD_PRICE} then 'bad price_cents_per_kwh' end,
+    case when {_BAD_PRICE} then 'bad price' end,
     case when {_BAD_CUSTOMERS} then 'bad customers' end)"""
 
 _FORECAST_POINTS = f"""

@@ -387,7 +387,7 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
     events = adapters.given(spark, folder, "events")
     state = F.expr(f"split_part('{adapters.STATES}', ',', cast(user_id % 25 as int) + 1)")
     event = F.col("event_id")
-    number = F.from_json("props", "map<string,string>")["k"]
+    number = F.regexp_extract("props", r'"k": ([0-9]+)', 1)
     month = F.substring(F.col("ts").cast("string"), 1, 7)
     fields = {
         "period": F.when(event % 29 == 0, None).when(event % 31 == 0, "2024/01").otherwise(month),
@@ -408,13 +408,10 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
         "sales": F.when(event % 17 == 0, None).otherwise(number),
         "customers": F.when(event % 43 == 0, "many").otherwise(F.concat(number, F.lit(".9"))),
     }
-    # spelled out, since a struct cannot hold two names that differ only in case
-    pairs = [
-        F.when(value.isNotNull(), F.concat(F.lit(f'"{name}": "'), value, F.lit('"')))
-        for name, value in fields.items()
-    ]
-    head, tail = F.lit('{"response": {"total": 1, "data": [{'), F.lit("}]}}")
-    text = F.concat(head, F.concat_ws(", ", *pairs), tail)
+    # a map, since a struct cannot hold two names that differ only in case
+    record = F.create_map(*[part for name, value in fields.items() for part in (F.lit(name), value)])
+    filled = F.map_filter(record, lambda _, value: value.isNotNull())
+    text = F.concat(F.lit('{"response": {"total": 1, "data": ['), F.to_json(filled), F.lit("]}}"))
     pages = events.select("event_id", F.from_json(text, landing.PAGE_SCHEMA).alias("page"))
     return pages.select("event_id", F.explode("page.response.data").alias("record"))
 
