@@ -1,5 +1,6 @@
 """Every operator as a query over the given tables."""
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -320,8 +321,6 @@ def s10_page(spark, folder):
 
 @_query
 def s11_trailing(spark, folder):
-    import datetime as dt
-
     return facets(adapters.raw(spark, folder, schemas.PRICES), trailing_period(dt.date(2000, 6, 30), 90))
 
 
@@ -382,7 +381,21 @@ def l6_insert_prices(spark, folder):
     return _inserted(spark, folder, schemas.PRICES)
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
+_PLACE_FIELDS = ["period", "stateid", "stateDescription", "sectorid", "sectorId"]
+_GENERATION_FIELDS = [
+    *_PLACE_FIELDS,
+    "location",
+    "locationDescription",
+    "fueltypeid",
+    "fuelTypeId",
+    "fuelTypeDescription",
+    "generation",
+    "generation-units",
+]
+_PRICE_FIELDS = [*_PLACE_FIELDS, "sectorName", "price", "revenue", "sales", "customers"]
+
+
+def _records(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     """Loose records as they land: JSON text with missing, empty and malformed fields."""
     events = adapters.given(spark, folder, "events")
     state = F.expr(f"split_part('{adapters.STATES}', ',', cast(user_id % 25 as int) + 1)")
@@ -408,30 +421,32 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
         "sales": F.when(event % 17 == 0, None).otherwise(number),
         "customers": F.when(event % 43 == 0, "many").otherwise(F.concat(number, F.lit(".9"))),
     }
-    # a map, since a struct cannot hold two names that differ only in case
-    record = F.create_map(*[part for name, value in fields.items() for part in (F.lit(name), value)])
-    filled = F.map_filter(record, lambda _, value: value.isNotNull())
-    text = F.concat(F.lit('{"response": {"total": 1, "data": ['), F.to_json(filled), F.lit("]}}"))
+    # put together as text, since a struct cannot hold two names that differ only in case
+    pairs = [F.concat(F.lit(f'"{name}": "'), fields[name], F.lit('"')) for name in names]
+    head, tail = F.lit('{"response": {"total": 1, "data": [{'), F.lit("}]}}")
+    text = F.concat(head, F.concat_ws(", ", *pairs), tail)
     pages = events.select("event_id", F.from_json(text, landing.PAGE_SCHEMA).alias("page"))
     return pages.select("event_id", F.explode("page.response.data").alias("record"))
 
 
 @_query
 def l1_normalise(spark, folder):
-    rows = landing.normalise_generation(_records(spark, folder), request_id="fixture")
+    rows = landing.normalise_generation(_records(spark, folder, _GENERATION_FIELDS), request_id="fixture")
     return landing.accepted(rows)
 
 
 @_query
 def l2_normalise_prices(spark, folder):
-    rows = landing.normalise_prices(_records(spark, folder), request_id="fixture")
+    rows = landing.normalise_prices(_records(spark, folder, _PRICE_FIELDS), request_id="fixture")
     return landing.accepted(rows)
 
 
 @_query
 def l3_quarantine(spark, folder):
-    generation = landing.rejected(landing.normalise_generation(_records(spark, folder)))
-    prices = landing.rejected(landing.normalise_prices(_records(spark, folder)))
+    generation = landing.rejected(
+        landing.normalise_generation(_records(spark, folder, _GENERATION_FIELDS))
+    )
+    prices = landing.rejected(landing.normalise_prices(_records(spark, folder, _PRICE_FIELDS)))
     kept = ["event_id", "period", "state_code", "sector_id", "reject_reason"]
     return (
         generation.select(F.lit("generation").alias("kind"), *kept)
