@@ -1,10 +1,13 @@
 """Idempotent inserts, upserts by key and incremental deltas over Parquet tables."""
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridmart import schemas, session
 from gridmart.operators.snapshots import first_per_key, having, lacking, last_per_key
@@ -118,7 +121,10 @@ def recompute_touched(
 
 @dataclass(frozen=True)
 class MergeTarget:
-    """Where a merged table lives and how its rows are told apart."""
+    """Where a merged table lives and how its rows are told apart.
+
+    The first column of ``order`` is the load time that watermarks are taken from.
+    """
 
     path: str
     keys: tuple[str, ...]
@@ -126,17 +132,47 @@ class MergeTarget:
     partition_by: str | None = None
 
 
-def _staging_root(path: str) -> str:
+def _beside(path: str, folder: str) -> str:
+    """A folder next to the table for what belongs to it but is not part of its rows."""
     head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/_merging_{name}"
+    return f"{head}/{folder}/{name}"
+
+
+def _staging_root(path: str) -> str:
+    return _beside(path, "_merging")
 
 
 def existing_table(spark: SparkSession, target: MergeTarget) -> DataFrame | None:
-    """The stored table, after finishing a merge that a lost driver left half applied."""
+    """The stored table, after finishing a merge that a lost driver left half applied.
+
+    The recorded schema spares opening files to find columns that later merges appended.
+    """
     finish_pending(spark, target)
     if not session.table_exists(spark, target.path):
         return None
-    return read_table(spark, target.path)
+    recorded = _beside(target.path, "_schemas")
+    if not session.table_exists(spark, recorded):
+        return read_table(spark, target.path)
+    schema = StructType.fromJson(json.loads(spark.read.parquet(recorded).first()[0]))
+    return spark.read.schema(schema).parquet(target.path)
+
+
+def watermark(spark: SparkSession, target: MergeTarget) -> DataFrame | None:
+    """The newest load time the table has taken in, for ``since_watermark``.
+
+    Recorded after every merge, so that finding it does not scan the table. A merge that
+    died before recording leaves the previous one: its rows are merged once more.
+    """
+    recorded = _beside(target.path, "_watermarks")
+    if session.table_exists(spark, recorded):
+        return spark.read.parquet(recorded)
+    return existing_table(spark, target)
+
+
+def forget_state(spark: SparkSession, target: MergeTarget) -> None:
+    """Drop what was recorded about a table that is about to be rebuilt from scratch."""
+    for folder in ("_watermarks", "_schemas", "_merging"):
+        session.remove_folder(spark, _beside(target.path, folder))
 
 
 def finish_pending(spark: SparkSession, target: MergeTarget) -> None:
@@ -148,7 +184,9 @@ def finish_pending(spark: SparkSession, target: MergeTarget) -> None:
 
 
 def _apply(spark: SparkSession, target: MergeTarget, staged: str) -> None:
-    writer = spark.read.parquet(staged).write.mode("overwrite")
+    rows = spark.read.parquet(staged)
+    _record_schema(spark, target, rows)
+    writer = rows.write.mode("overwrite")
     if target.partition_by:
         # the first write is a plain one: only that leaves the marker of a finished table
         known = session.table_exists(spark, target.path)
@@ -157,6 +195,20 @@ def _apply(spark: SparkSession, target: MergeTarget, staged: str) -> None:
     writer.parquet(target.path)
 
 
+def _record_schema(spark: SparkSession, target: MergeTarget, rows: DataFrame) -> None:
+    row = spark.createDataFrame([(rows.schema.json(),)], "table_schema string")
+    row.coalesce(1).write.mode("overwrite").parquet(_beside(target.path, "_schemas"))
+
+
+def _record_watermark(spark: SparkSession, target: MergeTarget, staged: DataFrame) -> None:
+    column, path = target.order[0], _beside(target.path, "_watermarks")
+    newest = F.max(column)
+    if session.table_exists(spark, path):
+        held = spark.read.parquet(path).first()[0]
+        newest = F.greatest(newest, F.lit(held).cast(staged.schema[column].dataType))
+    staged.agg(newest.alias(column)).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def merge_table(spark: SparkSession, target: MergeTarget, delta: DataFrame) -> int:
     """Upsert ``delta`` into the stored table; returns the number of delta keys.
 
@@ -166,10 +218,11 @@ def merge_table(spark: SparkSession, target: MergeTarget, delta: DataFrame) -> i
     3. The staged rows replace exactly those partitions.
 
     A run that dies before 3 leaves the table as it was; one that dies inside 3 is finished
-    from the staged rows by the next reader, so the table never stays half merged.
+    from the staged rows by the next reader, so the table never stays half merged. One
+    writer per table is assumed.
     """
     existing = existing_table(spark, target)
-    folder = f"{_staging_root(target.path)}/{session.scratch_path(spark, 'run').rpartition('/')[2]}"
+    folder = f"{_staging_root(target.path)}/{uuid.uuid4().hex}"
     newest = last_per_key(delta, target.keys, target.order)
     newest.write.parquet(f"{folder}/delta")
     staged = spark.read.parquet(f"{folder}/delta")
@@ -181,6 +234,7 @@ def merge_table(spark: SparkSession, target: MergeTarget, delta: DataFrame) -> i
         merged = _clustered(merged, target)
         merged.write.parquet(f"{folder}/merged")
         _apply(spark, target, f"{folder}/merged")
+        _record_watermark(spark, target, staged)
     session.remove_folder(spark, folder)
     return size
 

@@ -13,7 +13,7 @@ from gridmart.operators.audit import AuditLog, current_state
 from gridmart.plans import gold, reports, silver
 from gridmart.sources import landing
 from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, read_raw
-from gridmart.sources.sinks import append_table, read_table, refresh_table, write_reports
+from gridmart.sources.sinks import append_table, refresh_table, write_reports
 
 INCREMENTAL_MODES = ("replace_delta", "recompute_touched")
 
@@ -114,7 +114,14 @@ class Lake:
     # ---- silver --------------------------------------------------------------------------
 
     def staged(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.staging}/{name}")
+        stored = merge.existing_table(self.spark, self._target(name))
+        if stored is None:
+            raise FileNotFoundError(f"{name} has not been built yet")
+        return stored
+
+    def _target(self, name: str) -> merge.MergeTarget:
+        model = silver.MODELS[name]
+        return merge.MergeTarget(f"{self.staging}/{name}", model.keys, model.order, model.partition_by)
 
     def refresh_silver(
         self,
@@ -131,17 +138,17 @@ class Lake:
         """
         if incremental_mode not in INCREMENTAL_MODES:
             raise ValueError(f"unknown incremental_mode: {incremental_mode}")
-        model = silver.MODELS[name]
-        target = merge.MergeTarget(f"{self.staging}/{name}", model.keys, model.order, model.partition_by)
+        model, target = silver.MODELS[name], self._target(name)
         source = self.view(model.source)
         if full_refresh:
             built = merge.last_per_key(model.build(source), model.keys, model.order)
             partitions = [model.partition_by] if model.partition_by else []
+            merge.forget_state(self.spark, target)
             refresh_table(built, target.path, partitions)
             return self.staged(name).count()
-        existing = merge.existing_table(self.spark, target)
-        delta = merge.since_watermark(source, existing, lookback_days=lookback_days)
-        if existing is not None and model.time_column and incremental_mode == "recompute_touched":
+        mark = merge.watermark(self.spark, target)
+        delta = merge.since_watermark(source, mark, lookback_days=lookback_days)
+        if mark is not None and model.time_column and incremental_mode == "recompute_touched":
             built = merge.recompute_touched(source, delta, model.build, model.keys, model.time_column)
         else:
             built = model.build(delta)
@@ -149,8 +156,10 @@ class Lake:
 
     # ---- gold ----------------------------------------------------------------------------
 
-    def mart(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.analytics}/{name}")
+    def mart(self, name: str, ordered: bool = False) -> DataFrame:
+        """A stored mart; ``ordered`` sorts it the way it is published."""
+        stored = self.spark.read.parquet(f"{self.analytics}/{name}")
+        return gold.in_published_order(stored, name) if ordered else stored
 
     def refresh_gold(
         self,

@@ -313,3 +313,27 @@ def executive_summary(
         "avg_solar_irradiance_wm2",
         rounded(earned, 4).alias("renewable_revenue_million_usd"),
     )
+
+
+# The order each mart is published in. NULLs sort as in the published marts:
+# last when ascending, first when descending unless said otherwise.
+PUBLISHED_ORDER = {
+    "gold_generation_by_fuel_monthly": ["period desc", "state_code asc", "total_generation_mwh desc"],
+    "gold_price_trends": ["period desc", "state_code asc", "sector_id asc"],
+    "gold_carbon_footprint": ["period desc", "total_co2_tonnes desc"],
+    "gold_executive_summary": ["period desc", "total_generation_mwh desc nulls last"],
+}
+_DIRECTIONS = {
+    "asc": F.asc_nulls_last,
+    "desc": F.desc_nulls_first,
+    "desc nulls last": F.desc_nulls_last,
+}
+
+
+def in_published_order(mart: DataFrame, name: str) -> DataFrame:
+    """Sort a mart for reading (a range shuffle: leave it out where order does not matter)."""
+    keys = []
+    for entry in PUBLISHED_ORDER[name]:
+        column, _, direction = entry.partition(" ")
+        keys.append(_DIRECTIONS[direction](column))
+    return mart.orderBy(*keys)

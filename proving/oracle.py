@@ -608,6 +608,10 @@ _TEXTS: dict[str, str] = {
         qualify row_number() over (partition by run_id, asset_name
             order by completed_at is not null desc, completed_at desc nulls last, id desc) = 1""",
     "j3_newest_per_fuel": _doubles("carbon_newest", _CARBON_NUMBERS),
+    "k1_ordered_trends": _doubles("trends", _TREND_NUMBERS, "order by period desc, state_code, sector_id"),
+    "k2_ordered_summary": _doubles(
+        "summary", _SUMMARY_NUMBERS, "order by period desc, total_generation_mwh desc nulls last"
+    ),
     "k5_newest_readings": _doubles(
         f"{_timed('raw_market')} m",
         _RAW_MARKET_NUMBERS,

@@ -285,6 +285,16 @@ def j3_newest_per_fuel(spark, folder):
     return newest_rows_per_key(_silver(spark, folder, "silver_carbon_reference"), ["fuel_type"], "reading_date")
 
 
+@_query
+def k1_ordered_trends(spark, folder):
+    return gold.in_published_order(_trends(spark, folder), "gold_price_trends")
+
+
+@_query
+def k2_ordered_summary(spark, folder):
+    return gold.in_published_order(_summary(spark, folder), "gold_executive_summary")
+
+
 @_query
 def k5_newest_readings(spark, folder):
     return newest_rows(_bronze(spark, folder, "bronze_market_prices"), "recorded_at")

@@ -313,6 +313,16 @@ def test_trends_count_rows_unless_told_to_use_the_calendar(spark):
     assert by_rows["2024-02"].retail_wholesale_spread_usd_mwh == Decimal("112.00")
 
 
+def test_published_order_places_nulls(spark):
+    rows = spark.createDataFrame([("1", 5), ("2", None), ("2", 7), (None, 1)], "period string, total_co2_tonnes int").withColumn(
+        "total_generation_mwh", F.col("total_co2_tonnes")
+    )
+    by_carbon = gold.in_published_order(rows, "gold_carbon_footprint").collect()
+    assert [(r.period, r.total_co2_tonnes) for r in by_carbon] == [(None, 1), ("2", None), ("2", 7), ("1", 5)]
+    by_energy = gold.in_published_order(rows, "gold_executive_summary").collect()
+    assert [(r.period, r.total_co2_tonnes) for r in by_energy] == [(None, 1), ("2", 7), ("2", None), ("1", 5)]
+
+
 # ---- the whole run -----------------------------------------------------------------------
 
 

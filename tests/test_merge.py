@@ -137,7 +137,7 @@ def test_half_staged_merge_is_dropped(spark, tmp_path):
     merge.merge_table(spark, place, frame(spark, [("a", 1, 1)]))
     root = merge._staging_root(place.path)
     frame(spark, [("a", 9, 9)]).write.parquet(f"{root}/run-1/delta")
-    (tmp_path / "_merging_table" / "run-1" / "merged" / "_temporary").mkdir(parents=True)
+    (tmp_path / "_merging" / "table" / "run-1" / "merged" / "_temporary").mkdir(parents=True)
     assert held(merge.existing_table(spark, place)) == [("a", 1, 1)]
     assert session.child_folders(spark, root) == []
 
@@ -155,3 +155,13 @@ def test_surrogate_ids_are_unique_and_grow_with_the_load(spark):
     second = [r.i for r in rows.select(merge.surrogate_id(2).alias("i")).collect()]
     assert len({*first, *second}) == 2000
     assert max(first) < min(second)
+
+
+def test_watermark_is_recorded_and_never_falls(spark, tmp_path):
+    place = target(tmp_path)
+    assert merge.watermark(spark, place) is None
+    for rows, newest in [([("a", 1, 5)], 5), ([("b", 1, 3)], 5), ([("c", 1, 9)], 9)]:
+        merge.merge_table(spark, place, frame(spark, rows))
+        assert held(merge.watermark(spark, place)) == [(newest,)]
+    merge.forget_state(spark, place)
+    assert held(merge.watermark(spark, place), "k") == [("a",), ("b",), ("c",)]
