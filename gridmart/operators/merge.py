@@ -108,10 +108,15 @@ def recompute_touched(
     partial sums, and only then matched with the touched keys, so no raw row is shuffled
     for the match and a busy key costs nothing extra.
     """
-    day = F.to_date(F.col(time_column))
-    first = delta.select(F.min(day)).scalar()
-    last = delta.select(F.max(day)).scalar()
-    span = source.filter((day >= first) & (day <= last))
+    kind = source.schema[time_column].dataType
+
+    def midnight(moment: Column) -> Column:
+        return F.date_trunc("day", moment).cast(kind)
+
+    # plain comparisons with the column itself, so that the bounds reach the scan
+    first = delta.select(midnight(F.min(time_column))).scalar()
+    after = delta.select(midnight(F.max(time_column) + F.expr("interval 1 day"))).scalar()
+    span = source.filter((F.col(time_column) >= first) & (F.col(time_column) < after))
     touched = aggregate(delta).select(*keys)
     return having(aggregate(span), touched, keys)
 

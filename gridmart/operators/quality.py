@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,27 +128,29 @@ ALL_CHECKS = {**RAW_CHECKS, **BRONZE_CHECKS, **SILVER_CHECKS, **GOLD_CHECKS}
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check] | None = None) -> DataFrame:
-    """Failures of every check of one table: (table_name, column_name, check_name, severity, failures).
+    """Failures of every check of one table: (table_name, column_name, check_name, severity, failures)."""
+    return run_checks_together(df, {table: ALL_CHECKS[table] if checks is None else checks})
+
+
+def run_checks_together(df: DataFrame, declared: dict[str, Sequence[Check]]) -> DataFrame:
+    """Checks declared under several names for the same rows, such as a table and the view over it.
 
     All row checks are counted in one aggregate over one scan. Uniqueness needs its own
     aggregate by value; it counts the values that occur more than once.
     """
-    declared = list(ALL_CHECKS[table] if checks is None else checks)
-    by_row = [c for c in declared if c.kind != "unique"]
-    by_value = [c for c in declared if c.kind == "unique"]
+    everything = [(table, check) for table, checks in declared.items() for check in checks]
+    by_row = [(table, check) for table, check in everything if check.kind != "unique"]
+    by_value = [(table, check) for table, check in everything if check.kind == "unique"]
     parts = []
     if by_row:
-        counted = df.agg(*[F.count_if(c.failed()).alias(f"c{i}") for i, c in enumerate(by_row)])
-        lines = F.array(*[_line(table, c, F.col(f"c{i}")) for i, c in enumerate(by_row)])
+        counted = df.agg(*[F.count_if(check.failed()).alias(f"c{i}") for i, (_, check) in enumerate(by_row)])
+        lines = F.array(*[_line(table, check, F.col(f"c{i}")) for i, (table, check) in enumerate(by_row)])
         parts.append(counted.select(F.inline(lines)))
-    for check in by_value:
+    for table, check in by_value:
         groups = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).count()
         repeated = groups.agg(F.count_if(F.col("count") > 1).alias("n"))
         parts.append(repeated.select(F.inline(F.array(_line(table, check, F.col("n"))))))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _line(table: str, check: Check, failures: Column) -> Column:
@@ -162,11 +165,7 @@ def _line(table: str, check: Check, failures: Column) -> Column:
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """The reports of several tables together, one scan each."""
-    reports = [run_checks(df, name) for name, df in tables.items()]
-    combined = reports[0]
-    for report in reports[1:]:
-        combined = combined.unionByName(report)
-    return combined
+    return reduce(DataFrame.unionByName, [run_checks(df, name) for name, df in tables.items()])
 
 
 class QualityError(Exception):

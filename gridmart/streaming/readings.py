@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from gridmart import schemas
+from gridmart import schemas, session
 from gridmart.operators import merge
 from gridmart.plans import silver
 from gridmart.sources import landing
@@ -116,7 +116,12 @@ def insert_new_stream(
     """
 
     def insert_batch(batch: DataFrame, batch_id: int) -> None:
-        merge.insert_into_table(batch.sparkSession, table, root, batch, order, load_number(batch_id))
+        spark, number = batch.sparkSession, load_number(batch_id)
+        # staged once: the insert looks at the batch's span before it reads the batch itself
+        folder = session.scratch_path(spark, "batch")
+        batch.withColumn("id", merge.surrogate_id(number)).write.parquet(folder)
+        merge.insert_into_table(spark, table, root, spark.read.parquet(folder), order, number)
+        session.remove_folder(spark, folder)
 
     return _start(rows.writeStream.foreachBatch(insert_batch), checkpoint, once, every)
 
