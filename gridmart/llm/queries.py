@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import chat
+from gridmart.llm import arc, chat, maxscore, shards
 from gridmart.llm.common import read
 
 #: The conversation that every run of the first query adds.
@@ -59,6 +59,37 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(rows)
 
 
+def op2_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(read(spark, folder, "embeddings"))
+    return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op7_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    records = arc.archive_pages(pages, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
+    utf8 = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    records = read(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(utf8).cast("long") + 1).alias("size"),
+        F.crc32(utf8).alias("text_crc32"),
+        F.xxhash64(utf8).alias("group"),
+        F.col("doc_id").alias("id"),
+    )
+    return shards.assign_shards(records, 16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _ESCAPED = r"regexp_replace({0}, '\\*(?:<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[ROLE\]|\[/ROLE\])', '\\\0', 'g')"
 
 SQL = {}
@@ -81,8 +112,42 @@ from whole
 """
 
 
+SQL["op2_maxscore_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 100 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from scored qualify rank <= 10
+"""
+
+_BASE32 = ", ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(hex, {5 * g + 1}, 5))::int >> {s}) % 32, 1)"
+    for g in range(8)
+    for s in (15, 10, 5, 0)
+)
+SQL["op7_arc_to_warc"] = f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, concat({_BASE32}) as payload_digest,
+  min(page_id) over (partition by hex) as first from p)
+select page_id, payload_bytes, payload_digest, case when first = page_id then 'response' else 'revisit' end as record_type,
+  case when first <> page_id then first end as refers_to
+from d
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat_format": op1_chat_format}
+    found = (
+        op1_chat_format,
+        op2_maxscore_top_k,
+        op7_arc_to_warc,
+        op10_sampled_splitters,
+    )
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
