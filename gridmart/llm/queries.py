@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, maxscore, shards
+from gridmart.llm import arc, chat, decontaminate, maxscore, packing, shards
 from gridmart.llm.common import read
 
 #: The conversation that every run of the first query adds.
@@ -19,6 +19,13 @@ ADDED_TURNS = [
 ]
 
 
+def ranks_path() -> str:
+    """The installed byte-level vocabulary, the same ids as ``byte_bpe_50k.json``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame(ADDED_TURNS, "conv_id long, turn long, role string, text string")
@@ -64,12 +71,31 @@ def op2_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_spans(docs, read(spark, folder, "benchmark"))
+    n_hit = F.aggregate("hit_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    names = F.concat_ws(",", F.array_sort(F.transform("hit_items", lambda i: i.cast("string"))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op7_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url", "html")
     records = arc.archive_pages(pages, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read(spark, folder, "documents"), ranks_path())
+
+
 def op10_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     utf8 = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     records = read(spark, folder, "documents").select(
@@ -130,6 +156,23 @@ _BASE32 = ", ".join(
     for g in range(8)
     for s in (15, 10, 5, 0)
 )
+_FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _FOLDED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL["op5_decontaminate"] = f"""
+with doc as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+item as (select item_id, {_WORDS.format("text")} as w from benchmark where item_id is not null and text is not null),
+win as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') as win
+  from (select item_id, w, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from item where len(w) > 0)),
+placed as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as win
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from doc, (select distinct k from win))),
+hit as (select doc_id, item_id, placed.k, i from placed join win using (k, win)),
+word as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + k)) as p from hit) group by doc_id),
+found as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items
+  from (select distinct doc_id, item_id from hit) group by doc_id)
+select doc.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join word on doc.doc_id = word.doc_id left join found on doc.doc_id = found.doc_id
+"""
 SQL["op7_arc_to_warc"] = f"""
 with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
 d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, concat({_BASE32}) as payload_digest,
@@ -144,7 +187,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
         op2_maxscore_top_k,
+        op5_decontaminate,
         op7_arc_to_warc,
+        op9_pattern_packing,
         op10_sampled_splitters,
     )
     return {query.__name__: query for query in found}
