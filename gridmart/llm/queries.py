@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, maxscore, packing, shards
-from gridmart.llm.common import read
+from gridmart.llm import arc, chat, decontaminate, language, maxscore, packing, shards
+from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
 ADDED_TURNS = [
@@ -86,6 +86,14 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_field(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    learned = docs.filter(crc_bucket() != 2).select("doc_id", "text", "lang")
+    chain = language.train(language.sample(learned))
+    found = language.identify(docs.select("doc_id", "text"), chain)
+    return found.select("doc_id", (crc_bucket() == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url", "html")
     records = arc.archive_pages(pages, payloads=False)
@@ -188,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_chat_format,
         op2_maxscore_top_k,
         op5_decontaminate,
+        op6_language_field,
         op7_arc_to_warc,
         op9_pattern_packing,
         op10_sampled_splitters,
