@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, language, maxscore, packing, shards
+from gridmart.llm import arc, chat, decontaminate, language, maxscore, packing, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -100,6 +100,19 @@ def op7_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    labels = read(spark, folder, "labels").filter(crc_bucket() != 2).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.build(*toxicity.sample(docs, labels)))
+    return scored.select(
+        "doc_id",
+        (crc_bucket() == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"), ranks_path())
 
@@ -198,6 +211,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_decontaminate,
         op6_language_field,
         op7_arc_to_warc,
+        op8_toxicity_neighbours,
         op9_pattern_packing,
         op10_sampled_splitters,
     )
