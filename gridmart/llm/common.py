@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,29 +12,26 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
     Cuts the lineage: what follows is recomputed from files every executor can read,
-    never from another executor's disk.
+    never from another executor's disk. The shuffle files of the write go when it is done.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANED, "false")
+    spark.conf.set(_CLEANED, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
-    """The texts of an Arrow column, null as the empty text."""
-    return [text or "" for text in column.to_pylist()]
-
-
-def utf8(column: pa.Array) -> Iterator[bytes]:
-    """The UTF-8 bytes of each text of an Arrow column, null as no bytes."""
-    for value in column.cast(pa.large_binary()):
-        yield value.as_py() or b""
-
-
 def crc_bucket(doc_id: str = "doc_id"):
     """crc32 of the id as text, modulo 4: the fixed fold of the labelled rows."""
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, language, maxscore, packing, shards, toxicity
+from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, packing, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -71,6 +71,13 @@ def op2_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_spans(docs, read(spark, folder, "benchmark"))
@@ -177,6 +184,26 @@ _BASE32 = ", ".join(
     for g in range(8)
     for s in (15, 10, 5, 0)
 )
+SQL["op4_line_dedup"] = """
+with cut as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+line as (select doc_id, no, ls[no] as line, row_number() over (order by doc_id nulls first, no) as place
+  from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as no from cut)),
+long as (select * from line where length(line) >= 10),
+first as (select line, min(place) as place from long group by line),
+half as (select line, place, c, side, case side when 0 then left(line, c // 2) else right(line, c // 2) end as part
+  from (select line, place, unnest([length(line), length(line) - 1]) as c from first), (values (0), (1)) s(side)),
+near as (select distinct a.line from half a join half b using (c, side, part)
+  where b.place < a.place and a.line <> b.line and least(length(a.line), length(b.line)) = c
+    and levenshtein(a.line, b.line) <= 1),
+judged as (select line.*, coalesce(first.place < line.place, false) or near.line is not null as gone
+  from line left join first using (line) left join near using (line)),
+kept as (select doc_id, count(*) as n_lines, sum(gone::int)::bigint as n_removed,
+  coalesce(string_agg(line, chr(10) order by no) filter (where not gone), '') as text
+  from judged group by doc_id)
+select documents.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+  length(kept.text) as kept_chars, sha256(kept.text) as text_sha256
+from documents left join kept on documents.doc_id is not distinct from kept.doc_id
+"""
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _FOLDED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL["op5_decontaminate"] = f"""
@@ -208,6 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
         op2_maxscore_top_k,
+        op4_line_dedup,
         op5_decontaminate,
         op6_language_field,
         op7_arc_to_warc,

@@ -25,8 +25,10 @@ from gridmart.llm.language import slices
 #: Bound of the labelled sample: examples of either class, and bytes of an example's text.
 EXAMPLES_PER_CLASS = 3000
 EXAMPLE_BYTES = 200_000
-#: Terms need this many examples and this chi-square against the classes.
+#: Terms need this many examples, as many as this share of the toxic ones, and this chi-square
+#: against the classes.
 TERM_EXAMPLES = 3
+TERM_SHARE = 0.01
 TERM_CHI2 = 40.0
 TERMS = 1000
 #: Word beginnings that count as terms beside the words.
@@ -171,15 +173,22 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
     if not 0 < toxic < n:
         return
 
+    least = max(TERM_EXAMPLES, TERM_SHARE * toxic)
+
     def chi2(df: int, a: int) -> float:
-        if df < TERM_EXAMPLES or df == n:
+        if df < least or df == n:
             return 0.0
         b, c, d = df - a, toxic - a, n - toxic - (df - a)
         return n * (a * d - b * c) ** 2 / (toxic * (n - toxic) * df * (n - df))
 
     with_term, toxic_with = Counter(), Counter()
+    of_word: dict[bytes, list[bytes]] = {}
     for seen, y in zip(counted, index.toxic, strict=True):
-        held = {t for w in seen for t in terms(w)}
+        held: set[bytes] = set()
+        for word in seen:
+            if word not in of_word:
+                of_word[word] = terms(word)
+            held.update(of_word[word])
         with_term.update(held)
         if y:
             toxic_with.update(held)
@@ -188,11 +197,11 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
     having: dict[bytes, set[int]] = {}
     for row, seen in enumerate(counted):
         for word in seen:
-            if not strong.isdisjoint(terms(word)):
+            if not strong.isdisjoint(of_word[word]):
                 having.setdefault(word, set()).add(row)
     of_term: dict[bytes, list[bytes]] = {}
     for word in having:
-        for term in strong.intersection(terms(word)):
+        for term in strong.intersection(of_word[word]):
             of_term.setdefault(term, []).append(word)
     toxic_rows = {r for r, y in enumerate(index.toxic) if y}
     taken: set[bytes] = set()
