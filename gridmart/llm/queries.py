@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, packing, shards, toxicity
+from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, minhash, packing, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -71,6 +71,11 @@ def op2_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op3_minhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, minhash.Scheme(shingle=3, percent=85))
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
     return kept.select(
@@ -184,6 +189,22 @@ _BASE32 = ", ".join(
     for g in range(8)
     for s in (15, 10, 5, 0)
 )
+_FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op3_minhash_components"] = f"""
+with recursive doc as (select doc_id,
+  regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+sh as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from doc where len(w) > 0)),
+size as (select doc_id, count(*) as n from sh group by doc_id),
+link as (select a.doc_id as x, b.doc_id as y from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id
+  join size p on p.doc_id = a.doc_id join size q on q.doc_id = b.doc_id
+  where least(p.n, q.n) * 100 >= greatest(p.n, q.n) * 85
+  group by a.doc_id, b.doc_id, p.n, q.n having count(*) * 100 >= (p.n + q.n - count(*)) * 85),
+reach as (select doc_id, doc_id as y from doc union select reach.doc_id, link.y from reach join link on link.x = reach.y)
+select doc.doc_id, coalesce(n, 0) as n_shingles, c as component_id, c = doc.doc_id as kept
+from doc left join size on size.doc_id = doc.doc_id
+  join (select doc_id, min(y) as c from reach group by doc_id) r on r.doc_id = doc.doc_id
+"""
 SQL["op4_line_dedup"] = """
 with cut as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
 line as (select doc_id, no, ls[no] as line, row_number() over (order by doc_id nulls first, no) as place
@@ -204,7 +225,6 @@ select documents.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0)
   length(kept.text) as kept_chars, sha256(kept.text) as text_sha256
 from documents left join kept on documents.doc_id is not distinct from kept.doc_id
 """
-_FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _FOLDED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL["op5_decontaminate"] = f"""
 with doc as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
@@ -235,6 +255,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
         op2_maxscore_top_k,
+        op3_minhash_components,
         op4_line_dedup,
         op5_decontaminate,
         op6_language_field,
