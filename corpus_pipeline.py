@@ -3,10 +3,78 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from gridmart.llm import decontaminate, language, lines, minhash, packing
 from gridmart.llm.common import read, staged
+from gridmart.llm.queries import ranks_path
 
-STAGES = []
+#: A document stays if at least this share of its words is expected to be of one language.
+LEAST_LANGUAGE_SHARE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a known language; without letters, or of no main language, they go."""
+    chain = language.train(language.sample(docs))
+    # the columns that the verdict adds must not cover columns of the documents
+    named = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    found = language.identify(named, chain)
+    clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
+    return found.filter(clear).select("doc.*")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand earlier; one that has no other line left goes."""
+    found = lines.dedup_lines(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text"))
+    long_left = F.exists(F.split("text", "\n", -1), lambda line: F.length(line) >= lines.MIN_CHARS)
+    found = found.filter((F.col("n_removed") == 0) | long_left)
+    return found.select(*(_rewritten(c) for c in docs.columns))
+
+
+def _rewritten(column: str):
+    """A column of documents that follows a changed text."""
+    held = F.col("doc")[column]
+    if column == "text":
+        return F.col("text")
+    if column == "n_chars":
+        return F.when(F.col("text").eqNullSafe(F.col("doc.text")), held).otherwise(F.length("text")).cast("long").alias(column)
+    return held.alias(column)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest doc_id.
+
+    Of rows that repeat a doc_id the one with the smallest text stays; rows without doc_id stay.
+    """
+    found = minhash.near_duplicates(docs)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    once = W.partitionBy("doc_id").orderBy("text")
+    numbered = left.filter(F.col("doc_id").isNotNull()).withColumn("_copy", F.row_number().over(once))
+    unnamed = left.filter(F.col("doc_id").isNull())
+    return numbered.filter(F.col("_copy") == 1).drop("_copy").unionByName(unnamed)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages they share with the benchmark; mostly shared ones go."""
+    named = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    found = decontaminate.decontaminate(named, read(spark, sf_dir, "benchmark"))
+    return found.select(*(_rewritten(c) for c in docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences."""
+    return packing.pack_documents(docs, ranks_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_documents),
+    ("decontamination", remove_benchmark),
+    ("packing", pack),
+]
 
 #: The trained language model and the token packing are no SQL; the tests hold the run against plain Python.
 ORACLE_SQL = None
