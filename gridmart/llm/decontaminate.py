@@ -248,10 +248,12 @@ def decontaminate(
     a document whose hit words are more than ``coverage`` of all its words goes as a whole.
     Documents without a hit stay untouched, null and empty ones included.
     """
-    found = find_spans(docs, benchmark, window)
+    # the other columns travel in a struct, where the columns that are added cannot cover them
+    named = docs.select("text", F.struct(*docs.columns).dropFields("text").alias("_others"))
+    found = find_spans(named, benchmark, window)
     hits = F.aggregate("hit_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     kept = found.filter(hits <= F.col("n_words") * coverage)
-    columns = docs.columns
+    columns = named.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,11 +264,11 @@ def decontaminate(
                 for k, spans in enumerate(hit):
                     if spans:
                         texts[k] = remove_words(texts[k], [(s["start"], s["end"]) for s in spans], longest)
-                at = rest.schema.get_field_index("text")
-                rest = rest.set_column(at, rest.schema.field(at), pa.array(texts, rest.schema.field(at).type))
+                rest = rest.set_column(0, rest.schema.field(0), pa.array(texts, rest.schema.field(0).type))
             yield rest
 
-    return kept.mapInArrow(cut, docs.schema)
+    left = kept.mapInArrow(cut, named.schema)
+    return left.select(*(c if c == "text" else F.col("_others")[c].alias(c) for c in docs.columns))
 
 
 def remove_words(text: str, spans: list[tuple[int, int]], longest: int = 0) -> str:

@@ -293,10 +293,9 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
         if not found.isEmpty():
             joined = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
             labels = components(joined.union(_confirmed(docs, found, scheme)))
-    # sets that share their first id with another set, by rows that repeat an id, are one node too
     named = staged(_labelled(firsts, labels, "id", "component"), "equal-components")
     out = signed.join(named.select(*equal, "component"), equal, "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
