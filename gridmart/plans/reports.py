@@ -1,10 +1,16 @@
-"""Report queries over the marts: the notebook's frames and the workbook's sheets."""
+"""Report queries over the marts: the notebook's frames and the workbook's sheets.
 
-from pyspark.sql import Column, DataFrame, Window
+Trends, distributions, rankings and snapshots are taken from all filtered rows
+(``price_rows``, ``carbon_rows``, ``market_rows``); a number of rows limits listings alone.
+"""
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.functions import mean, rounded
+from gridmart.operators.snapshots import newest_rows
 
+#: The sectors and, in the functions below, the column names that make the reports.
 HEADLINE_SECTORS = ["RES", "COM", "IND"]
 
 
@@ -12,16 +18,6 @@ def _millions(total: Column, digits: int) -> Column:
     return rounded(total.cast("double") / 1_000_000, digits)
 
 
-def _newest_of_few(df: DataFrame, column: str) -> DataFrame:
-    """Rows of the newest ``column`` in a frame that a limit or an aggregate keeps small.
-
-    Such a frame sits in one partition anyway, so a window over all of it adds no shuffle
-    and saves computing the frame twice.
-    """
-    newest = F.max(column).over(Window.partitionBy())
-    return df.withColumn("_newest", newest).filter(F.col(column) == F.col("_newest")).drop("_newest")
-
-
 # ---- scorecard ---------------------------------------------------------------------------
 
 
@@ -85,15 +81,16 @@ def generation_mix_sheet(by_fuel: DataFrame, rows: int = 100) -> DataFrame:
 def category_share(mix: DataFrame) -> DataFrame:
     """Generation per category in the mix's newest year."""
     yearly = mix.groupBy("period_year", "fuel_category").agg(F.sum("generation_twh").alias("generation_twh"))
-    return _newest_of_few(yearly, "period_year").select("fuel_category", "generation_twh")
+    return newest_rows(yearly, "period_year", mix).select("fuel_category", "generation_twh")
 
 
 # ---- prices ------------------------------------------------------------------------------
 
 
-def price_table(trends: DataFrame, since_year: int = 2021, rows: int = 2000) -> DataFrame:
+def price_rows(trends: DataFrame, since_year: int = 2021) -> DataFrame:
+    """All headline prices since a year."""
     headline = trends.filter(F.col("sector_id").isin(HEADLINE_SECTORS) & (F.col("period_year") >= since_year))
-    return _newest_prices(headline, rows).select(
+    return headline.select(
         "period",
         "period_year",
         "state_code",
@@ -105,6 +102,10 @@ def price_table(trends: DataFrame, since_year: int = 2021, rows: int = 2000) ->
     )
 
 
+def price_table(trends: DataFrame, since_year: int = 2021, rows: int = 2000) -> DataFrame:
+    return _newest_prices(price_rows(trends, since_year), rows)
+
+
 def price_sheet(trends: DataFrame, rows: int = 500) -> DataFrame:
     headline = trends.filter(F.col("sector_id").isin(HEADLINE_SECTORS))
     return _newest_prices(headline, rows).select(
@@ -125,20 +126,20 @@ def _newest_prices(trends: DataFrame, rows: int) -> DataFrame:
     return trends.orderBy(*order).limit(rows)
 
 
-def sector_trend(table: DataFrame) -> DataFrame:
-    """Mean price per period and sector over the rows of the price table."""
-    trend = table.groupBy("period", "sector_id", "sector_name").agg(
+def sector_trend(prices: DataFrame) -> DataFrame:
+    """Mean price per period and sector."""
+    trend = prices.groupBy("period", "sector_id", "sector_name").agg(
         rounded(mean("price_cents_kwh"), 8).alias("price_cents_kwh")
     )
     return trend.orderBy("period", "sector_id")
 
 
-def yoy_distribution(table: DataFrame) -> DataFrame:
+def yoy_distribution(prices: DataFrame) -> DataFrame:
     """Five-number summary of the yearly change per sector (the box plot's numbers)."""
     change = F.col("yoy_change_pct").cast("double")
     quartiles = F.percentile(change, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     grouped = (
-        table.filter(F.col("yoy_change_pct").isNotNull())
+        prices.filter(F.col("yoy_change_pct").isNotNull())
         .groupBy("sector_id")
         .agg(
             F.count(F.lit(1)).alias("changes"),
@@ -159,9 +160,10 @@ def yoy_distribution(table: DataFrame) -> DataFrame:
 # ---- carbon ------------------------------------------------------------------------------
 
 
-def carbon_table(footprint: DataFrame, since_year: int = 2021, rows: int = 2000) -> DataFrame:
+def carbon_rows(footprint: DataFrame, since_year: int = 2021) -> DataFrame:
+    """All states' footprints since a year."""
     recent = footprint.filter(F.col("period_year") >= since_year)
-    shown = recent.select(
+    return recent.select(
         "period",
         "period_year",
         "state_code",
@@ -172,7 +174,10 @@ def carbon_table(footprint: DataFrame, since_year: int = 2021, rows: int = 2000)
         rounded("grid_carbon_intensity_gco2_kwh", 1).alias("carbon_intensity"),
         rounded("carbon_intensity_yoy_change_pct", 1).alias("intensity_yoy_change"),
     )
-    return _dirtiest_first(shown, "co2_mt", rows)
+
+
+def carbon_table(footprint: DataFrame, since_year: int = 2021, rows: int = 2000) -> DataFrame:
+    return _dirtiest_first(carbon_rows(footprint, since_year), "co2_mt", rows)
 
 
 def carbon_sheet(footprint: DataFrame, rows: int = 500) -> DataFrame:
@@ -200,24 +205,25 @@ def _dirtiest_first(shown: DataFrame, emissions: str, rows: int) -> DataFrame:
     return shown.orderBy(*order).limit(rows)
 
 
-def top_states(table: DataFrame, count: int = 20) -> DataFrame:
+def top_states(carbon: DataFrame, count: int = 20) -> DataFrame:
     """States with the highest renewable share in the newest period, and their mean share."""
-    known = _newest_of_few(table, "period").filter(F.col("renewable_pct").isNotNull())
+    known = newest_rows(carbon, "period").filter(F.col("renewable_pct").isNotNull())
     best = known.orderBy(F.desc("renewable_pct"), "state_code", "state_description").limit(count)
-    level = F.avg(F.col("renewable_pct").cast("double")).over(Window.partitionBy())
-    return best.select("period", "state_code", "renewable_pct", rounded(level, 1).alias("mean_renewable_pct"))
+    level = best.select(rounded(F.avg(F.col("renewable_pct").cast("double")), 1)).scalar()
+    return best.select("period", "state_code", "renewable_pct", level.alias("mean_renewable_pct"))
 
 
-def national_trend(table: DataFrame) -> DataFrame:
-    trend = table.groupBy("period").agg(rounded(mean("carbon_intensity"), 8).alias("carbon_intensity"))
+def national_trend(carbon: DataFrame) -> DataFrame:
+    trend = carbon.groupBy("period").agg(rounded(mean("carbon_intensity"), 8).alias("carbon_intensity"))
     return trend.orderBy("period")
 
 
 # ---- markets -----------------------------------------------------------------------------
 
 
-def market_table(market: DataFrame, rows: int = 1000) -> DataFrame:
-    return _newest_markets(market, rows).select(
+def market_rows(market: DataFrame) -> DataFrame:
+    """All daily markets as they are shown."""
+    return market.select(
         "reading_date",
         "region",
         rounded("avg_spot_price_usd_mwh", 2).alias("spot_price"),
@@ -227,6 +233,10 @@ def market_table(market: DataFrame, rows: int = 1000) -> DataFrame:
     )
 
 
+def market_table(market: DataFrame, rows: int = 1000) -> DataFrame:
+    return _newest_markets(market_rows(market), rows)
+
+
 def market_sheet(market: DataFrame, rows: int = 500) -> DataFrame:
     return _newest_markets(market, rows).select(
         "reading_date",
@@ -243,8 +253,8 @@ def _newest_markets(market: DataFrame, rows: int) -> DataFrame:
     return market.orderBy(F.desc_nulls_first("reading_date"), F.asc_nulls_last("region")).limit(rows)
 
 
-def market_snapshot(table: DataFrame) -> DataFrame:
-    newest = _newest_of_few(table, "reading_date")
+def market_snapshot(markets: DataFrame) -> DataFrame:
+    newest = newest_rows(markets, "reading_date")
     return newest.select("region", "spot_price", "peak_price", "demand_gw", "volatility_pct")
 
 
@@ -280,20 +290,18 @@ def all_reports(
 ) -> dict[str, DataFrame]:
     """Every report frame by name, over stored marts."""
     mix = generation_mix(by_fuel, mix_since)
-    prices = price_table(trends, since)
-    carbon = carbon_table(footprint, since)
-    markets = market_table(market)
+    prices, carbon, markets = price_rows(trends, since), carbon_rows(footprint, since), market_rows(market)
     return {
         "kpi_scorecard": kpi_scorecard(summary, as_of_year),
         "generation_mix": mix,
         "category_share": category_share(mix),
-        "price_table": prices,
+        "price_table": price_table(trends, since),
         "sector_trend": sector_trend(prices),
         "yoy_distribution": yoy_distribution(prices),
-        "carbon_table": carbon,
+        "carbon_table": carbon_table(footprint, since),
         "top_states": top_states(carbon),
         "national_trend": national_trend(carbon),
-        "market_table": markets,
+        "market_table": market_table(market),
         "market_snapshot": market_snapshot(markets),
         "audit_summary": audit_summary(audit),
         "executive_summary_sheet": kpi_scorecard(summary, as_of_year, digits=False),

@@ -356,8 +356,7 @@ select period, period_year, state_code, sector_id, sector_name,
     {_round("price_cents_per_kwh", 2)} as price_cents_kwh,
     {_round("price_yoy_change_pct", 1)} as yoy_change_pct,
     {_round("rolling_12m_avg_price_usd_mwh", 2)} as rolling_avg
-from trends where sector_id in ('RES', 'COM', 'IND') and period_year >= {q.TABLES_SINCE}
-{_NEWEST_PRICES} 2000"""
+from trends where sector_id in ('RES', 'COM', 'IND') and period_year >= {q.TABLES_SINCE}"""
 _DIRTIEST = "nulls last, state_code nulls last, state_description nulls last limit"
 _PARTS["carbon_rows"] = f"""
 select period, period_year, state_code, state_description,
@@ -366,8 +365,7 @@ select period, period_year, state_code, state_description,
     {_round("clean_energy_share_pct", 1)} as clean_pct,
     {_round("grid_carbon_intensity_gco2_kwh", 1)} as carbon_intensity,
     {_round("carbon_intensity_yoy_change_pct", 1)} as intensity_yoy_change
-from footprint where period_year >= {q.TABLES_SINCE}
-order by period desc nulls first, co2_mt desc {_DIRTIEST} 2000"""
+from footprint where period_year >= {q.TABLES_SINCE}"""
 _PARTS["top_rows"] = """
 select period, state_code, renewable_pct from carbon_rows
 where period = (select max(period) from carbon_rows) and renewable_pct is not null
@@ -377,7 +375,7 @@ select reading_date, region, {_round("avg_spot_price_usd_mwh", 2)} as spot_price
     {_round("avg_peak_price_usd_mwh", 2)} as peak_price,
     {_round("cast(avg_demand_mw as double) / 1000", 1)} as demand_gw,
     {_round("price_volatility_pct", 1)} as volatility_pct
-from silver_market order by reading_date desc nulls first, region nulls last limit 1000"""
+from silver_market"""
 _MARKET_SHOWN = "spot_price peak_price demand_gw volatility_pct"
 
 
@@ -558,7 +556,9 @@ _TEXTS: dict[str, str] = {
               where fuel_type_description is not null and period_year >= {q.MIX_SINCE} group by all) m
         where period_year = (select max(period_year) from by_fuel where period_year >= {q.MIX_SINCE})
         group by fuel_category""",
-    "r3_price_table": _doubles("price_rows", "price_cents_kwh yoy_change_pct rolling_avg"),
+    "r3_price_table": _doubles(
+        "price_rows", "price_cents_kwh yoy_change_pct rolling_avg", f"{_NEWEST_PRICES} 2000"
+    ),
     "r3_price_sheet": f"""select period, state_code, sector_id, sector_name,
         {_shown("price_usd_per_mwh", 2, "price_usd_mwh")},
         {_shown("price_cents_per_kwh", 2, "price_cents_kwh")},
@@ -576,7 +576,9 @@ _TEXTS: dict[str, str] = {
         cast(max(yoy_change_pct) as double) as highest
         from price_rows where yoy_change_pct is not null group by sector_id""",
     "r4_carbon_table": _doubles(
-        "carbon_rows", "co2_mt renewable_pct clean_pct carbon_intensity intensity_yoy_change"
+        "carbon_rows",
+        "co2_mt renewable_pct clean_pct carbon_intensity intensity_yoy_change",
+        f"order by period desc nulls first, carbon_rows.co2_mt desc {_DIRTIEST} 2000",
     ),
     "r4_carbon_sheet": f"""select period, state_code, state_description,
         {_shown("cast(total_generation_mwh as double) / 1000000", 3, "generation_twh")},
@@ -590,7 +592,9 @@ _TEXTS: dict[str, str] = {
         {_shown("(select avg(renewable_pct) from top_rows)", 1, "mean_renewable_pct")} from top_rows""",
     "r4_national_trend": f"""select period,
         {_shown(_mean("carbon_rows.carbon_intensity"), 8, "carbon_intensity")} from carbon_rows group by period""",
-    "r5_market_table": _doubles("market_rows", _MARKET_SHOWN),
+    "r5_market_table": _doubles(
+        "market_rows", _MARKET_SHOWN, "order by reading_date desc nulls first, region nulls last limit 1000"
+    ),
     "r5_market_sheet": f"""select reading_date, region,
         {_shown("avg_spot_price_usd_mwh", 2, "spot_price_usd_mwh")},
         {_shown("avg_peak_price_usd_mwh", 2, "peak_price_usd_mwh")},

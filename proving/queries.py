@@ -223,12 +223,12 @@ def r3_price_sheet(spark, folder):
 
 @_query
 def r3_sector_trend(spark, folder):
-    return reports.sector_trend(r3_price_table(spark, folder))
+    return reports.sector_trend(reports.price_rows(_trends(spark, folder), TABLES_SINCE))
 
 
 @_query
 def r3_yoy_distribution(spark, folder):
-    return reports.yoy_distribution(r3_price_table(spark, folder))
+    return reports.yoy_distribution(reports.price_rows(_trends(spark, folder), TABLES_SINCE))
 
 
 @_query
@@ -243,12 +243,12 @@ def r4_carbon_sheet(spark, folder):
 
 @_query
 def r4_top_states(spark, folder):
-    return reports.top_states(r4_carbon_table(spark, folder))
+    return reports.top_states(reports.carbon_rows(_footprint(spark, folder), TABLES_SINCE))
 
 
 @_query
 def r4_national_trend(spark, folder):
-    return reports.national_trend(r4_carbon_table(spark, folder))
+    return reports.national_trend(reports.carbon_rows(_footprint(spark, folder), TABLES_SINCE))
 
 
 @_query
@@ -263,7 +263,7 @@ def r5_market_sheet(spark, folder):
 
 @_query
 def r5_latest_snapshot(spark, folder):
-    return reports.market_snapshot(r5_market_table(spark, folder))
+    return reports.market_snapshot(reports.market_rows(_silver(spark, folder, "silver_market_aggregated")))
 
 
 @_query
