@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridmart import schemas, session
+from gridmart.operators.loads import append_load, stored_loads
 from gridmart.operators.snapshots import first_per_key, having, lacking, last_per_key
-from gridmart.sources.raw import column_names, read_raw
-from gridmart.sources.sinks import append_table, read_table
+from gridmart.sources.raw import column_names
+from gridmart.sources.sinks import finish_swap, read_table
 
 EPOCH = "1900-01-01"
 BROADCAST_KEYS = 200_000
 LISTED_PARTITIONS = 5_000
-TASK_BITS = 14
-ROW_BITS = 26
 
 
 # ---- pure frames -------------------------------------------------------------------------
@@ -39,9 +38,8 @@ def insert_new(
     """
     loaded = existing
     if range_column:
-        low = delta.select(F.min(range_column)).scalar()
-        high = delta.select(F.max(range_column)).scalar()
-        loaded = loaded.filter(F.col(range_column).between(low, high))
+        span = delta.select(F.struct(F.min(range_column).alias("low"), F.max(range_column).alias("high"))).scalar()
+        loaded = loaded.filter(F.col(range_column).between(span["low"], span["high"]))
     fresh = first_per_key(delta, keys, order)
     return lacking(fresh, loaded.select(*keys).distinct(), keys)
 
@@ -66,7 +64,7 @@ def upsert(
         return last_per_key(delta, keys, order)
     if small_delta:
         newest = last_per_key(delta, keys, order)
-        untouched = lacking(existing, F.broadcast(newest.select(*keys)), keys)
+        untouched = lacking(existing, newest.select(*keys).hint("broadcast"), keys)
         return untouched.unionByName(newest, allowMissingColumns=True)
     both = existing.withColumn("_fresh", F.lit(False)).unionByName(
         delta.withColumn("_fresh", F.lit(True)), allowMissingColumns=True
@@ -148,11 +146,11 @@ def _staging_root(path: str) -> str:
 
 
 def existing_table(spark: SparkSession, target: MergeTarget) -> DataFrame | None:
-    """The stored table, after finishing a merge that a lost driver left half applied.
+    """The stored table, as it is: reading never touches what a merge has staged.
 
-    The recorded schema spares opening files to find columns that later merges appended.
+    A full refresh that was lost while it swapped folders is finished first. The recorded schema spares opening files to find columns that later merges appended.
     """
-    finish_pending(spark, target)
+    finish_swap(spark, target.path)
     if not session.table_exists(spark, target.path):
         return None
     recorded = _beside(target.path, "_schemas")
@@ -181,7 +179,7 @@ def forget_state(spark: SparkSession, target: MergeTarget) -> None:
 
 
 def finish_pending(spark: SparkSession, target: MergeTarget) -> None:
-    """Apply merges that were staged completely and drop those that were not."""
+    """Apply merges that were staged completely and drop those that were not. For writers alone."""
     for folder in session.child_folders(spark, _staging_root(target.path)):
         if session.table_exists(spark, f"{folder}/merged"):
             _apply(spark, target, f"{folder}/merged")
@@ -223,9 +221,9 @@ def merge_table(spark: SparkSession, target: MergeTarget, delta: DataFrame) -> i
     3. The staged rows replace exactly those partitions.
 
     A run that dies before 3 leaves the table as it was; one that dies inside 3 is finished
-    from the staged rows by the next reader, so the table never stays half merged. One
-    writer per table is assumed.
+    from the staged rows by the next merge. One writer per table is assumed.
     """
+    finish_pending(spark, target)
     existing = existing_table(spark, target)
     folder = f"{_staging_root(target.path)}/{uuid.uuid4().hex}"
     newest = last_per_key(delta, target.keys, target.order)
@@ -262,53 +260,30 @@ def _touched_partitions(existing: DataFrame, staged: DataFrame, column: str) ->
     values = staged.select(column).distinct()
     listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
     if len(listed) <= LISTED_PARTITIONS:
-        return existing.filter(F.col(column).isin(listed))
+        among = F.col(column).isin([value for value in listed if value is not None])
+        return existing.filter(among | F.col(column).isNull() if None in listed else among)
     return having(existing, values, [column])
 
 
-def surrogate_id(load_number: int) -> Column:
-    """Unique ids for the rows of one load: load number, task and row, packed in one bigint.
-
-    Numbering from the table's largest id would read that column of the whole table on every
-    load. Load numbers come from the audit log and grow by one, so ids grow over time, and
-    within a load they follow the rows of each file when given before any shuffle.
-    """
-    place = F.monotonically_increasing_id()
-    task = F.shiftright(place, 33)
-    row = place.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < 1 << TASK_BITS) & (row < 1 << ROW_BITS)
-    packed = F.lit(load_number << (TASK_BITS + ROW_BITS)) + F.shiftleft(task, ROW_BITS) + row
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("load too large for its id range")).cast("bigint"))
-
-
 def insert_into_table(
     spark: SparkSession,
     table: str,
     root: str,
     delta: DataFrame,
     order: Sequence[str],
-    load_number: int,
+    load_key: str,
     partition_by: str = "period",
 ) -> int:
-    """Append the rows of ``delta`` whose load key the raw table lacks; returns how many.
+    """Store the rows of ``delta`` whose load key the raw table lacks; returns how many.
 
-    The accepted rows are staged first, so that the count, the ids and the append all see
-    the same rows even when tasks are retried. A load that died half way through its append
-    is completed by loading it again: what it had stored is recognised by its key.
+    A load that is repeated under its ``load_key`` is compared with the other loads alone and
+    replaces what it had stored.
     """
     path, keys = f"{root}/{table}", schemas.LOAD_KEYS[table]
-    if "id" not in delta.columns:
-        delta = delta.withColumn("id", surrogate_id(load_number))
     if session.path_exists(spark, path):
-        stored = read_raw(spark, table, root)
+        stored = stored_loads(spark, table, root, without=load_key)
         fresh = insert_new(delta, stored, keys, order, range_column=partition_by)
     else:
         fresh = first_per_key(delta, keys, order)
-    folder = session.scratch_path(spark, "insert")
-    fresh.select(*column_names(table)).write.parquet(folder)
-    staged = spark.read.parquet(folder)
-    added = staged.count()
-    if added:
-        append_table(staged.hint("rebalance", partition_by), path, [partition_by])
-    session.remove_folder(spark, folder)
-    return added
+    names = [name for name in column_names(table) if name != "id"]
+    return append_load(spark, path, fresh.select(*names), load_key, [partition_by])

@@ -1,19 +1,27 @@
 """First, last and latest rows per key, without gathering a key's rows in one task."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _matched(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join in which a NULL key part equals a NULL one."""
+    renamed = other.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    return df.join(renamed, reduce(Column.__and__, on), how).select(*df.columns)
+
+
 def having(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key ``other`` has, with their columns in their own order."""
-    return df.join(other, list(keys), "left_semi").select(*df.columns)
+    return _matched(df, other, keys, "left_semi")
 
 
 def lacking(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key ``other`` lacks, with their columns in their own order."""
-    return df.join(other, list(keys), "left_anti").select(*df.columns)
+    return _matched(df, other, keys, "left_anti")
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -4,17 +4,17 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gridmart import schemas, session
 from gridmart.functions import trailing_period
 from gridmart.operators import merge, quality
 from gridmart.operators.audit import AuditLog, current_state
+from gridmart.operators.loads import append_load
 from gridmart.plans import gold, reports, silver
 from gridmart.sources import landing
 from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, read_raw
-from gridmart.sources.sinks import append_table, refresh_table, write_reports
+from gridmart.sources.sinks import append_table, finish_swap, refresh_table, write_reports
 
 INCREMENTAL_MODES = ("replace_delta", "recompute_touched")
 
@@ -61,23 +61,21 @@ class Lake:
         ingested_at=None,
         strict: bool = False,
     ) -> int:
-        def load(good: DataFrame, number: int) -> int:
+        def load(good: DataFrame, key: str) -> int:
             wanted = facets(good, since, until, list(states) if states else None)
             rows = landing.stamped(wanted, ingested_at)
             order = ["file_name", "seq", "pos"]
-            return merge.insert_into_table(self.spark, table, self.raw, rows, order, number)
+            return merge.insert_into_table(self.spark, table, self.raw, rows, order, key)
 
         return self._load(table, normalised, run_id, "eia_api", load, strict)
 
     def _load_appended(
         self, table: str, normalised: DataFrame, run_id: str, ingested_at=None, strict: bool = False
     ) -> int:
-        def load(good: DataFrame, number: int) -> int:
-            rows = landing.stamped(good, ingested_at).select(*column_names(table))
-            written = Observation(f"{table}_{number}")
-            counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-            append_table(counted, f"{self.raw}/{table}")
-            return written.get["rows"]
+        def load(good: DataFrame, key: str) -> int:
+            names = [name for name in column_names(table) if name != "id"]
+            rows = landing.stamped(good, ingested_at).select(*names)
+            return append_load(self.spark, f"{self.raw}/{table}", rows, key)
 
         return self._load(table, normalised, run_id, "enrichment_api", load, strict)
 
@@ -87,37 +85,46 @@ class Lake:
         normalised: DataFrame,
         run_id: str,
         source: str,
-        load: Callable[[DataFrame, int], int],
+        load: Callable[[DataFrame, str], int],
         strict: bool,
     ) -> int:
-        """Stage the parsed and numbered rows, set the rejected ones aside, load the others."""
+        """Stage the parsed rows, set the rejected ones aside, load the others."""
         if normalised.isEmpty():
             return 0
 
         def run(number: int) -> int:
-            if strict:
-                landing.strict(normalised).write.format("noop").mode("overwrite").save()
             folder = session.scratch_path(self.spark, f"parsed-{table}")
-            normalised.withColumn("id", merge.surrogate_id(number)).write.parquet(folder)
-            parsed = self.spark.read.parquet(folder)
-            bad = landing.rejected(parsed)
-            if not bad.isEmpty():
-                append_table(bad, f"{self.rejected}/{table}")
-            loaded = load(landing.accepted(parsed), number)
-            session.remove_folder(self.spark, folder)
-            return loaded
+            try:
+                normalised.write.parquet(folder)
+                parsed = self.spark.read.schema(normalised.schema).parquet(folder)
+                if strict:
+                    landing.strict(parsed).write.format("noop").mode("overwrite").save()
+                bad = landing.rejected(parsed)
+                if not bad.isEmpty():
+                    append_table(bad, f"{self.rejected}/{table}")
+                return load(landing.accepted(parsed), f"batch-{number}")
+            finally:
+                session.remove_folder(self.spark, folder)
 
         return self.audit.track(run_id, table, source, run)
 
+    def raw_table(self, table: str) -> DataFrame:
+        """A raw table; one that nothing was loaded into yet has no rows."""
+        if not session.path_exists(self.spark, f"{self.raw}/{table}"):
+            return self.spark.createDataFrame([], schemas.RAW_TABLES[table])
+        return read_raw(self.spark, table, self.raw)
+
     def view(self, view: str) -> DataFrame:
-        return bronze(read_raw(self.spark, BRONZE_VIEWS[view], self.raw), view)
+        return bronze(self.raw_table(BRONZE_VIEWS[view]), view)
 
     # ---- silver --------------------------------------------------------------------------
 
     def staged(self, name: str) -> DataFrame:
+        """A silver table; one that was not built yet has no rows."""
         stored = merge.existing_table(self.spark, self._target(name))
         if stored is None:
-            raise FileNotFoundError(f"{name} has not been built yet")
+            model = silver.MODELS[name]
+            return model.build(self.view(model.source)).limit(0)
         return stored
 
     def _target(self, name: str) -> merge.MergeTarget:
@@ -128,24 +135,26 @@ class Lake:
         self,
         name: str,
         full_refresh: bool = False,
-        incremental_mode: str = "replace_delta",
+        incremental_mode: str = "recompute_touched",
         lookback_days: int = 0,
     ) -> int:
         """Bring one silver table up to date; returns the number of keys written.
 
-        ``replace_delta`` aggregates the new readings alone, as published: a day that gets
-        late readings is replaced by their aggregate. ``recompute_touched`` aggregates every
-        touched day again from all of its readings and equals a full refresh.
+        ``recompute_touched`` aggregates every touched day again from all of its readings and
+        equals a full refresh. ``replace_delta`` aggregates the new readings alone, as published:
+        a day that gets late readings is replaced by their aggregate.
         """
         if incremental_mode not in INCREMENTAL_MODES:
             raise ValueError(f"unknown incremental_mode: {incremental_mode}")
         model, target = silver.MODELS[name], self._target(name)
+        if not session.path_exists(self.spark, f"{self.raw}/{BRONZE_VIEWS[model.source]}"):
+            return 0
         source = self.view(model.source)
         if full_refresh:
             built = merge.last_per_key(model.build(source), model.keys, model.order)
             partitions = [model.partition_by] if model.partition_by else []
-            merge.forget_state(self.spark, target)
             refresh_table(built, target.path, partitions)
+            merge.forget_state(self.spark, target)
             return self.staged(name).count()
         mark = merge.watermark(self.spark, target)
         delta = merge.since_watermark(source, mark, lookback_days=lookback_days)
@@ -159,6 +168,7 @@ class Lake:
 
     def mart(self, name: str, ordered: bool = False) -> DataFrame:
         """A stored mart; ``ordered`` sorts it the way it is published."""
+        finish_swap(self.spark, f"{self.analytics}/{name}")
         stored = self.spark.read.parquet(f"{self.analytics}/{name}")
         return gold.in_published_order(stored, name) if ordered else stored
 
@@ -194,7 +204,7 @@ class Lake:
             declared = {table: checks}
             if table in views:
                 declared[views[table]] = quality.BRONZE_CHECKS[views[table]]
-            parts.append(quality.run_checks_together(read_raw(self.spark, table, self.raw), declared))
+            parts.append(quality.run_checks_together(self.raw_table(table), declared))
         refined = {name: self.staged(name) for name in quality.SILVER_CHECKS}
         refined |= {name: self.mart(name) for name in quality.GOLD_CHECKS}
         return reduce(DataFrame.unionByName, [*parts, quality.quality_report(refined)])
@@ -219,14 +229,16 @@ def run_daily(
     as_of: dt.datetime,
     run_id: str,
     window_days: int | None = 90,
-    incremental_mode: str = "replace_delta",
+    incremental_mode: str = "recompute_touched",
     report_root: str | None = None,
     **mart_options,
 ) -> DataFrame:
     """Load every landed table, refresh silver and gold, check all layers.
 
-    ``landed`` maps raw table names to landing paths. Returns the quality report after
-    raising on failed error-level checks.
+    ``landed`` maps raw table names to landing paths; tables that are not in it stay as they are.
+    ``as_of`` chooses the window of periods alone: rows are stamped with the time of the load, so
+    a rerun or a back-fill reaches the silver tables like any other load. Returns the quality
+    report after raising on failed error-level checks.
     """
     lake = Lake(spark, root)
     since = trailing_period(as_of, window_days) if window_days is not None else None
@@ -234,12 +246,12 @@ def run_daily(
     for table, load in keyed.items():
         if table in landed:
             records = landing.read_pages(spark, landed[table])
-            load(records, run_id, since=since, until=f"{as_of:%Y-%m}", ingested_at=as_of)
+            load(records, run_id, since=since, until=f"{as_of:%Y-%m}")
     for table in landing.READING_SCHEMAS:
         if table in landed:
-            lake.load_readings(table, landing.read_readings(spark, table, landed[table]), run_id, ingested_at=as_of)
+            lake.load_readings(table, landing.read_readings(spark, table, landed[table]), run_id)
     if schemas.FORECAST in landed:
-        lake.load_forecasts(landing.read_forecasts(spark, landed[schemas.FORECAST]), run_id, ingested_at=as_of)
+        lake.load_forecasts(landing.read_forecasts(spark, landed[schemas.FORECAST]), run_id)
     for name in silver.MODELS:
         lake.refresh_silver(name, incremental_mode=incremental_mode)
     lake.refresh_gold(**mart_options)

@@ -71,6 +71,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder; another run that has moved it already is no error."""
+    fs, handle = _handle(spark, path)
+    if not fs.rename(handle, _handle(spark, to)[1]) and fs.exists(handle):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a finished table, not just an empty or half-written folder."""
     return path_exists(spark, f"{path}/_SUCCESS")

@@ -33,7 +33,8 @@ def _split_ddl(ddl: str) -> list[str]:
 
 def read_raw(spark: SparkSession, table: str, root: str) -> DataFrame:
     """Scan ``<root>/<table>`` with its fixed schema, so no file is opened to infer one."""
-    return spark.read.schema(schemas.RAW_TABLES[table]).parquet(f"{root}/{table}")
+    stored = spark.read.schema(schemas.RAW_TABLES[table]).parquet(f"{root}/{table}")
+    return stored.select(*column_names(table))
 
 
 def bronze(raw: DataFrame, view: str) -> DataFrame:

@@ -5,13 +5,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart import session
+
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. ``df`` must not read ``path``."""
+    """Full refresh: written beside the table, then swapped in, so ``df`` may read ``path``.
+
+    A run that dies while it writes leaves the table as it was; one that dies inside the swap
+    is finished by the next reader or writer.
+    """
+    spark = df.sparkSession
+    finish_swap(spark, path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(_successor(path))
+    finish_swap(spark, path)
+
+
+def _successor(path: str) -> str:
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/_refreshing/{name}"
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Puts a completely written successor in the place of the table."""
+    if session.table_exists(spark, _successor(path)):
+        session.remove_folder(spark, path)
+        session.move_folder(spark, _successor(path), path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

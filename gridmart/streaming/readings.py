@@ -5,7 +5,8 @@ landed and stops; otherwise a batch runs every ``every`` interval. Checkpoints a
 on a cluster they belong into a folder all executors reach.
 """
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from gridmart import schemas, session
 from gridmart.operators import merge
+from gridmart.operators.loads import append_load, stored_loads
 from gridmart.plans import silver
 from gridmart.sources import landing
 
@@ -44,6 +46,11 @@ def _start(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) ->
     return query
 
 
+def _load_key(checkpoint: str, batch_id: int) -> str:
+    """Names the load of one batch; a replay of the batch has the same."""
+    return f"stream-{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]}-{batch_id}"
+
+
 def append_readings(
     rows: DataFrame,
     table_path: str,
@@ -51,9 +58,13 @@ def append_readings(
     once: bool = True,
     every: str = DEFAULT_INTERVAL,
 ) -> StreamingQuery:
-    """Append rows to a raw table. The file sink's own log makes every batch count once."""
-    writer = rows.writeStream.format("parquet").outputMode("append").option("path", table_path)
-    return _start(writer, checkpoint, once, every)
+    """Append rows to a raw table, each batch as a load like any other: batch loads of the same
+    table stay visible, ids are drawn from the same numbers, a replayed batch replaces itself."""
+
+    def append_batch(batch: DataFrame, batch_id: int) -> None:
+        append_load(batch.sparkSession, table_path, batch, _load_key(checkpoint, batch_id))
+
+    return _start(rows.writeStream.foreachBatch(append_batch), checkpoint, once, every)
 
 
 def landed_readings(documents: DataFrame, table: str) -> DataFrame:
@@ -108,19 +119,19 @@ def insert_new_stream(
     checkpoint: str,
     once: bool = True,
     every: str = DEFAULT_INTERVAL,
-    load_number: Callable[[int], int] = lambda batch_id: batch_id + 1,
 ) -> StreamingQuery:
     """Append only rows whose load key is new, across batches and restarts.
 
-    A replayed batch finds its own keys loaded and adds nothing.
+    A replayed batch replaces what it had stored.
     """
 
     def insert_batch(batch: DataFrame, batch_id: int) -> None:
-        spark, number = batch.sparkSession, load_number(batch_id)
+        spark = batch.sparkSession
         # staged once: the insert looks at the batch's span before it reads the batch itself
         folder = session.scratch_path(spark, "batch")
-        batch.withColumn("id", merge.surrogate_id(number)).write.parquet(folder)
-        merge.insert_into_table(spark, table, root, spark.read.parquet(folder), order, number)
+        batch.write.parquet(folder)
+        staged = spark.read.schema(batch.schema).parquet(folder)
+        merge.insert_into_table(spark, table, root, staged, order, _load_key(checkpoint, batch_id))
         session.remove_folder(spark, folder)
 
     return _start(rows.writeStream.foreachBatch(insert_batch), checkpoint, once, every)
@@ -145,16 +156,13 @@ def refresh_days_stream(
 
     Needs no stream state at all: late readings of any age are taken in.
     """
-    schema = schemas.RAW_TABLES[table]
 
     def refresh_batch(batch: DataFrame, batch_id: int) -> None:
-        # one folder per batch, overwritten when the batch is replayed
-        path = f"{root}/{table}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        spark = batch.sparkSession
-        source = spark.read.schema(schema).parquet(f"{root}/{table}")
-        delta = spark.read.schema(schema).parquet(path)
-        built = merge.recompute_touched(source, delta, model.build, model.keys, model.time_column)
-        merge.merge_table(spark, target, built)
+        spark, path, key = batch.sparkSession, f"{root}/{table}", _load_key(checkpoint, batch_id)
+        if append_load(spark, path, batch, key):
+            source = stored_loads(spark, table, root)
+            delta = spark.read.schema(schemas.RAW_TABLES[table]).parquet(f"{path}/load={key}")
+            built = merge.recompute_touched(source, delta, model.build, model.keys, model.time_column)
+            merge.merge_table(spark, target, built)
 
     return _start(readings.writeStream.foreachBatch(refresh_batch), checkpoint, once, every)

@@ -747,6 +747,10 @@ _TEXTS: dict[str, str] = {
     "x1_stream_readings": _doubles(
         "(select * replace (ingested_at as recorded_at) from raw_market) m", _RAW_MARKET_NUMBERS
     ),
+    "x5_batch_and_stream": _doubles(
+        "(select * exclude (id) replace (ingested_at as recorded_at), true as numbered_once from raw_market) m",
+        _RAW_MARKET_NUMBERS,
+    ),
     "x2_stream_daily": _doubles(
         f"({_daily_market('(select * replace (ingested_at as recorded_at) from raw_market) e')}) m",
         _MARKET_NUMBERS,

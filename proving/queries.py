@@ -22,10 +22,11 @@ from gridmart.functions import (
 from gridmart.operators import merge, quality
 from gridmart.operators.audit import current_state
 from gridmart.operators.horizon import hourly_spine
+from gridmart.operators.loads import append_load
 from gridmart.operators.snapshots import newest_rows, newest_rows_per_key
 from gridmart.plans import gold, reports, silver
 from gridmart.sources import dims, landing
-from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page
+from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page, read_raw
 from gridmart.sources.sinks import publish_view
 from gridmart.streaming import readings as streams
 from proving import adapters
@@ -685,8 +686,8 @@ def _market_stream(spark: SparkSession, folder: str) -> DataFrame:
 def x1_stream_readings(spark, folder):
     base = session.scratch_path(spark, "x1")
     rows = _market_stream(spark, folder).select(*column_names(schemas.MARKET))
-    streams.append_readings(rows, f"{base}/table", f"{base}/checkpoint")
-    return spark.read.schema(schemas.RAW_TABLES[schemas.MARKET]).parquet(f"{base}/table")
+    streams.append_readings(rows, f"{base}/{schemas.MARKET}", f"{base}/checkpoint")
+    return read_raw(spark, schemas.MARKET, base)
 
 
 @_query
@@ -708,8 +709,7 @@ def x3_stream_insert(spark, folder):
     renamed = rows.withColumnRenamed("id", "seq")
     table = schemas.GENERATION
     streams.insert_new_stream(renamed, table, f"{base}/raw", ["ingested_at", "seq"], f"{base}/checkpoint")
-    stored = spark.read.schema(schemas.RAW_TABLES[table]).parquet(f"{base}/raw/{table}")
-    return stored.drop("id")
+    return read_raw(spark, table, f"{base}/raw").drop("id")
 
 
 @_query
@@ -718,4 +718,19 @@ def x4_stream_forecast(spark, folder):
     documents = _forecast_documents(_event_stream(spark, folder))
     points = landing.accepted(landing.normalise_demand_forecast(_parsed_forecasts(documents)))
     streams.append_readings(points, f"{base}/table", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select(*points.columns)
+
+
+@_query
+def x5_batch_and_stream(spark, folder):
+    """Even readings come by a stream, odd ones in a batch, into one table."""
+    base = session.scratch_path(spark, "x5")
+    names = [name for name in column_names(schemas.MARKET) if name != "id"]
+    even = _market_stream(spark, folder).filter(F.col("id") % 2 == 0).select(*names)
+    streams.append_readings(even, f"{base}/{schemas.MARKET}", f"{base}/checkpoint")
+    odd = adapters.raw(spark, folder, schemas.MARKET).filter(F.col("id") % 2 == 1)
+    timed = odd.withColumn("recorded_at", F.col("ingested_at")).select(*names)
+    append_load(spark, f"{base}/{schemas.MARKET}", timed, "batch-1")
+    stored = read_raw(spark, schemas.MARKET, base)
+    repeats = stored.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+    return stored.join(repeats, "id").select(*names, (F.col("times") == 1).alias("numbered_once"))

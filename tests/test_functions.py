@@ -114,3 +114,8 @@ def test_horizon(spark):
     for hours in (0, 169):
         with pytest.raises(ValueError):
             hourly_spine(issue, "issued", hours)
+    lengths = issue.select("issued", F.explode(F.array(F.lit(1), F.lit(168))).alias("hours"))
+    assert hourly_spine(lengths, "issued", F.col("hours")).count() == 169
+    for hours in (0, 169, None):
+        with pytest.raises(Exception, match="hours must be between"):
+            hourly_spine(issue, "issued", F.lit(hours).cast("int")).collect()

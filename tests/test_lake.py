@@ -46,7 +46,7 @@ def test_second_load_inserts_nothing(spark, lake, tmp_path):
     assert lake.load_generation(records, "run-1") == 2
     assert lake.load_generation(records, "run-2") == 0
     stored = lake.view("bronze_eia_generation")
-    assert {r.generation_mwh for r in stored.collect()} == {Decimal("45678.9000"), Decimal("1234.5000")}
+    assert {r.generation_mwh for r in stored.collect()} == {Decimal("52000.5000"), Decimal("999.5000")}
     assert states(lake) == [(schemas.GENERATION, "success", 2), (schemas.GENERATION, "success", 0)]
     assert schemas.contract_violations(stored, schemas.GENERATION) == []
 
@@ -56,7 +56,7 @@ def test_revisions_are_ignored_and_new_keys_added(spark, lake, tmp_path):
     revised = pages(spark, tmp_path / "2", "a", PRICE | {"price": "99"}, PRICE | {"sectorid": "COM"})
     assert lake.load_prices(revised, "run-2") == 1
     held = {r.sector_id: r.price_cents_per_kwh for r in lake.view("bronze_eia_prices").collect()}
-    assert held == {"RES": Decimal("12.4500"), "COM": Decimal("12.4500")}
+    assert held == {"RES": Decimal("9.7500"), "COM": Decimal("9.7500")}
     ids = [r.id for r in lake.view("bronze_eia_prices").collect()]
     assert len(set(ids)) == 2
 
@@ -185,7 +185,7 @@ def test_silver_is_incremental(spark, lake, tmp_path):
     lake.load_prices(more, "run-2", ingested_at=DAY_2)
     assert lake.refresh_silver("silver_prices_cleaned") == 1
     rows = lake.staged("silver_prices_cleaned").orderBy("period").collect()
-    assert [(r.period, r.price_usd_per_mwh) for r in rows] == [("2024-01", Decimal("124.5")), ("2024-02", Decimal("124.5"))]
+    assert [(r.period, r.price_usd_per_mwh) for r in rows] == [("2024-01", Decimal("97.5")), ("2024-02", Decimal("97.5"))]
 
 
 def load_market(lake, *rows):
@@ -243,8 +243,8 @@ def golden_inputs(spark, lake, tmp_path, regions):
 @pytest.mark.parametrize(
     ("regions", "gas", "sun", "tonnes"),
     [
-        (["ERCOT"], "45678900", "1234500", "22382.66"),
-        (REGIONS, "411110100", "11110500", "201443.95"),
+        (["ERCOT"], "52000500", "999500", "23660.23"),
+        (REGIONS, "468004500", "8995500", "212942.05"),
     ],
 )
 def test_carbon_join_golden(spark, lake, tmp_path, regions, gas, sun, tonnes):
@@ -255,10 +255,10 @@ def test_carbon_join_golden(spark, lake, tmp_path, regions, gas, sun, tonnes):
     assert held["SUN"].total_generation_mwh == Decimal(sun)
     assert held["NG"].estimated_co2_tonnes == Decimal(tonnes)
     assert held["SUN"].estimated_co2_tonnes == 0
-    assert (held["NG"].pct_of_state_generation, held["SUN"].pct_of_state_generation) == (Decimal("97.37"), Decimal("2.63"))
+    assert (held["NG"].pct_of_state_generation, held["SUN"].pct_of_state_generation) == (Decimal("98.11"), Decimal("1.89"))
     state = gold.carbon_footprint(by_fuel).first()
-    assert state.grid_carbon_intensity_gco2_kwh == Decimal("0.48")
-    assert (state.renewable_share_pct, state.natural_gas_mwh) == (Decimal("2.63"), Decimal(gas))
+    assert state.grid_carbon_intensity_gco2_kwh == Decimal("0.45")
+    assert (state.renewable_share_pct, state.natural_gas_mwh) == (Decimal("1.89"), Decimal(gas))
     physical = gold.generation_by_fuel(generation, carbon, co2_divisor=gold.PHYSICAL_DIVISOR)
     assert gold.carbon_footprint(physical).first().grid_carbon_intensity_gco2_kwh == Decimal("477.11")
 
@@ -266,7 +266,7 @@ def test_carbon_join_golden(spark, lake, tmp_path, regions, gas, sun, tonnes):
 def test_preaggregated_carbon_keeps_true_sums(spark, lake, tmp_path):
     generation, carbon = golden_inputs(spark, lake, tmp_path, REGIONS)
     held = {r.fuel_type_code: r for r in gold.generation_by_fuel(generation, carbon, "preaggregated").collect()}
-    assert held["NG"].total_generation_mwh == Decimal("45678900")
+    assert held["NG"].total_generation_mwh == Decimal("52000500")
     assert held["NG"].estimated_co2_tonnes == Decimal("22382.66")
     with pytest.raises(ValueError):
         gold.generation_by_fuel(generation, carbon, "guess")
@@ -345,8 +345,8 @@ def test_daily_run_twice(spark, tmp_path):
     lake = Lake(spark, root)
     summary = lake.mart("gold_executive_summary").collect()
     assert [(r.state_code, r.grid_region) for r in summary] == [("TX", "ERCOT"), ("TX", "ERCOT")]
-    assert summary[0].residential_price_usd_mwh == Decimal("124.5")
-    assert (summary[0].wholesale_spot_price_usd_mwh, summary[0].avg_temperature_c) == (45, Decimal("28.50"))
+    assert summary[0].residential_price_usd_mwh == Decimal("97.5")
+    assert (summary[0].wholesale_spot_price_usd_mwh, summary[0].avg_temperature_c) == (45, Decimal("17.25"))
     assert summary[0].renewable_revenue_million_usd == Decimal("153.6953")
     sheet = next((tmp_path / "reports" / "kpi_scorecard").glob("*.csv")).read_text().splitlines()
     assert sheet[0].startswith("Total Gen Twh,Avg Renewable Pct")

@@ -38,7 +38,7 @@ def test_pretty_printed_page(spark, tmp_path):
 def test_generation_row(spark, tmp_path):
     row = landing.accepted(generation(spark, tmp_path, GENERATION)).first()
     assert (row.period, row.state_code, row.sector_id, row.fuel_type_code) == ("2024-01", "TX", "99", "NG")
-    assert row.generation_mwh == Decimal("45678.9000")
+    assert row.generation_mwh == Decimal("52000.5000")
     assert (row.generation_units, row.source, row.api_request_id) == ("thousand megawatthours", "eia_api", "r1")
 
 
@@ -88,7 +88,7 @@ def test_strict_fails_the_batch(spark, tmp_path):
 
 def test_price_row(spark, tmp_path):
     row = landing.accepted(prices(spark, tmp_path, PRICE | {"customers": "12.9"})).first()
-    assert row.price_cents_per_kwh == Decimal("12.4500")
+    assert row.price_cents_per_kwh == Decimal("9.7500")
     assert row.customers == 12
     assert landing.accepted(prices(spark, tmp_path, PRICE | {"customers": "-12.9"})).first().customers == -12
     assert landing.accepted(prices(spark, tmp_path, without(PRICE, "customers"))).first().customers is None

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridmart import session
-from gridmart.operators import merge
+from gridmart.operators import loads, merge
 from gridmart.operators.snapshots import first_per_key, last_per_key, newest_rows, newest_rows_per_key
 
 SCHEMA = "k string, v int, t int"
@@ -18,7 +18,7 @@ def frame(spark, rows, schema=SCHEMA):
 
 
 def held(df, *columns):
-    return sorted(tuple(r[c] for c in columns or df.columns) for r in df.collect())
+    return sorted((tuple(r[c] for c in columns or df.columns) for r in df.collect()), key=lambda t: [(v is not None, v) for v in t])
 
 
 def test_first_and_last_per_key(spark):
@@ -123,11 +123,13 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     assert sorted(f.name for f in (tmp_path / "table" / "p=x").iterdir()) == before
 
 
-def test_half_applied_merge_is_finished_by_the_next_reader(spark, tmp_path):
+def test_half_applied_merge_is_finished_by_the_next_writer(spark, tmp_path):
     place = target(tmp_path)
     merge.merge_table(spark, place, frame(spark, [("a", 1, 1)]))
     root = merge._staging_root(place.path)
     frame(spark, [("a", 9, 9), ("b", 9, 9)]).write.parquet(f"{root}/run-1/merged")
+    assert held(merge.existing_table(spark, place)) == [("a", 1, 1)]
+    merge.finish_pending(spark, place)
     assert held(merge.existing_table(spark, place)) == [("a", 9, 9), ("b", 9, 9)]
     assert session.child_folders(spark, root) == []
 
@@ -138,6 +140,7 @@ def test_half_staged_merge_is_dropped(spark, tmp_path):
     root = merge._staging_root(place.path)
     frame(spark, [("a", 9, 9)]).write.parquet(f"{root}/run-1/delta")
     (tmp_path / "_merging" / "table" / "run-1" / "merged" / "_temporary").mkdir(parents=True)
+    merge.finish_pending(spark, place)
     assert held(merge.existing_table(spark, place)) == [("a", 1, 1)]
     assert session.child_folders(spark, root) == []
 
@@ -149,12 +152,40 @@ def test_added_columns_read_null_in_older_partitions(spark, tmp_path):
     assert held(merge.existing_table(spark, place), "k", "p", "extra") == [("a", "x", None), ("b", "y", "new")]
 
 
-def test_surrogate_ids_are_unique_and_grow_with_the_load(spark):
-    rows = spark.range(0, 1000, numPartitions=7)
-    first = [r.i for r in rows.select(merge.surrogate_id(1).alias("i")).collect()]
-    second = [r.i for r in rows.select(merge.surrogate_id(2).alias("i")).collect()]
-    assert len({*first, *second}) == 2000
-    assert max(first) < min(second)
+def test_ids_of_loads_are_dense_and_a_repeated_load_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert loads.append_load(spark, path, spark.range(1000, numPartitions=7).withColumnRenamed("id", "v"), "a") == 1000
+    assert loads.append_load(spark, path, spark.range(10).withColumnRenamed("id", "v"), "b") == 10
+    assert loads.append_load(spark, path, spark.range(0).withColumnRenamed("id", "v"), "c") == 0
+    ids = [r["id"] for r in spark.read.parquet(path).collect()]
+    assert sorted(ids) == list(range(1, 1011))
+    assert loads.append_load(spark, path, spark.range(12).withColumnRenamed("id", "v"), "b") == 12
+    rows = spark.read.parquet(path)
+    assert rows.count() == rows.select("id").distinct().count() == 1012
+
+
+def test_small_and_large_deltas_treat_null_keys_alike(spark):
+    old, new = frame(spark, [(None, 1, 1), ("b", 1, 1)]), frame(spark, [(None, 2, 2), ("c", 1, 2)])
+    small = held(merge.upsert(old, new, ["k"], ["t"], small_delta=True))
+    assert small == held(merge.upsert(old, new, ["k"], ["t"]))
+    assert len(small) == 3
+
+
+def test_rows_of_a_null_partition_survive_a_merge(spark, tmp_path):
+    place = merge.MergeTarget(str(tmp_path / "table"), ("p", "k"), ("t",), "p")
+    columns = "k string, t int, p string"
+    merge.merge_table(spark, place, frame(spark, [("a", 1, None), ("b", 1, "x")], columns))
+    merge.merge_table(spark, place, frame(spark, [("c", 1, None)], columns))
+    assert held(merge.existing_table(spark, place), "k", "p") == [("a", None), ("b", "x"), ("c", None)]
+
+
+def test_readers_leave_a_running_merge_alone(spark, tmp_path):
+    place = target(tmp_path)
+    merge.merge_table(spark, place, frame(spark, [("a", 1, 1)]))
+    running = f"{merge._staging_root(place.path)}/running"
+    frame(spark, [("z", 9, 9)]).write.parquet(f"{running}/merged")
+    assert held(merge.existing_table(spark, place), "k") == [("a",)]
+    assert session.path_exists(spark, running)
 
 
 def test_watermark_is_recorded_and_never_falls(spark, tmp_path):

@@ -104,12 +104,12 @@ def test_repeats_are_suppressed_across_batches(spark, tmp_path):
         return spark.read.parquet(f"{root}/{schemas.GENERATION}").collect()
 
     land(source, "1", envelope(GENERATION, GENERATION | {"generation": "1"}))
-    assert [r.generation_mwh for r in run()] == [Decimal("45678.9000")]
+    assert [r.generation_mwh for r in run()] == [Decimal("52000.5000")]
     land(source, "2", envelope(GENERATION | {"generation": "2"}, GENERATION | {"period": "2024-02"}))
     rows = run()
     assert sorted((r.period, r.generation_mwh) for r in rows) == [
-        ("2024-01", Decimal("45678.9000")),
-        ("2024-02", Decimal("45678.9000")),
+        ("2024-01", Decimal("52000.5000")),
+        ("2024-02", Decimal("52000.5000")),
     ]
     assert len({r.id for r in rows}) == 2
 
