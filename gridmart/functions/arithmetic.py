@@ -61,8 +61,11 @@ def change_pct(value: ColumnLike, earlier: Column) -> Column:
 
 
 def yoy_change_pct(
-    value: ColumnLike, by: Sequence[ColumnLike], order: ColumnLike, rows: int = 12
+    value: ColumnLike, by: Sequence[ColumnLike], order: ColumnLike, rows: int = 12, *ties: ColumnLike
 ) -> Column:
-    """Percentage change against the value ``rows`` rows earlier in the group (12 = a year)."""
-    series = Window.partitionBy(*by).orderBy(order)
+    """Percentage change against the value ``rows`` rows earlier in the group (12 = a year).
+
+    ``ties`` order rows that ``order`` does not tell apart.
+    """
+    series = Window.partitionBy(*by).orderBy(order, *[_col(t).asc_nulls_last() for t in ties])
     return change_pct(value, F.lag(_col(value), rows).over(series))

@@ -286,4 +286,6 @@ def insert_into_table(
     else:
         fresh = first_per_key(delta, keys, order)
     names = [name for name in column_names(table) if name != "id"]
-    return append_load(spark, path, fresh.select(*names), load_key, [partition_by])
+    # ids follow the order of arrival: of two rows that later meet under one key the newer wins
+    arrived = fresh.orderBy(*[F.asc_nulls_last(c) for c in order]).select(*names)
+    return append_load(spark, path, arrived, load_key, [partition_by])

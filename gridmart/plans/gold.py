@@ -112,8 +112,25 @@ def _tonnes(divisor: int) -> Column:
     return rounded(grams / parts, 2).cast(TONNES)
 
 
-def price_trends(prices: DataFrame, market: DataFrame, calendar: bool = False) -> DataFrame:
-    """Retail prices with yearly and monthly change, rolling mean and wholesale spread.
+RETAIL_COLUMNS = (
+    "period",
+    "period_year",
+    "period_month",
+    "period_date",
+    "state_code",
+    "state_description",
+    "sector_id",
+    "sector_name",
+    "price_usd_per_mwh",
+    "price_cents_per_kwh",
+    "revenue_million_dollars",
+    "sales_million_kwh",
+    "customers",
+)
+
+
+def retail_changes(prices: DataFrame, calendar: bool = False) -> DataFrame:
+    """Retail prices with yearly and monthly change and rolling mean.
 
     ``prices`` holds one row per period, state and sector, so a window holds one sector's
     months. Changes count rows, as published; ``calendar=True`` compares with the same month
@@ -122,31 +139,21 @@ def price_trends(prices: DataFrame, market: DataFrame, calendar: bool = False) -
     series = Window.partitionBy("state_code", "sector_id").orderBy("period_date")
     price = F.col("price_usd_per_mwh")
     rolling = F.avg(price).over(series.rowsBetween(-11, 0))
-    columns = [
-        "period",
-        "period_year",
-        "period_month",
-        "period_date",
-        "state_code",
-        "state_description",
-        "sector_id",
-        "sector_name",
-        "price_usd_per_mwh",
-        "price_cents_per_kwh",
-        "revenue_million_dollars",
-        "sales_million_kwh",
-        "customers",
-    ]
     if calendar:
         year_before, month_before = _months_before(series, 12), _months_before(series, 1)
     else:
         year_before, month_before = F.lag(price, 12).over(series), F.lag(price, 1).over(series)
-    trends = prices.select(
-        *columns,
+    return prices.select(
+        *RETAIL_COLUMNS,
         change_pct(price, year_before).alias("price_yoy_change_pct"),
         change_pct(price, month_before).alias("price_mom_change_pct"),
         rounded(rolling, 2).alias("rolling_12m_avg_price_usd_mwh"),
     )
+
+
+def price_trends(prices: DataFrame, market: DataFrame, calendar: bool = False) -> DataFrame:
+    """Retail prices with their changes, the wholesale prices of the region and the spread."""
+    trends = retail_changes(prices, calendar)
     regions = F.broadcast(dims.price_regions(prices.sparkSession))
     wholesale = market.select(
         "region",
@@ -154,18 +161,16 @@ def price_trends(prices: DataFrame, market: DataFrame, calendar: bool = False) -
         F.col("avg_spot_price_usd_mwh").alias("wholesale_spot_price_usd_mwh"),
         F.col("avg_peak_price_usd_mwh").alias("wholesale_peak_price_usd_mwh"),
     )
-    added = ["price_yoy_change_pct", "price_mom_change_pct", "rolling_12m_avg_price_usd_mwh"]
     spot = F.coalesce("wholesale_spot_price_usd_mwh", F.lit(0))
     return (
         trends.join(regions, "state_code", "left")
         .join(wholesale, ["region", "period_date"], "left")
         .select(
-            *columns,
-            *added,
+            *trends.columns,
             "region",
             "wholesale_spot_price_usd_mwh",
             "wholesale_peak_price_usd_mwh",
-            rounded(price - spot, 2).alias("retail_wholesale_spread_usd_mwh"),
+            rounded(F.col("price_usd_per_mwh") - spot, 2).alias("retail_wholesale_spread_usd_mwh"),
         )
     )
 
@@ -225,7 +230,7 @@ def carbon_footprint(by_fuel: DataFrame) -> DataFrame:
         share_pct("renewable_generation_mwh", energy).alias("renewable_share_pct"),
         share_pct(clean, energy).alias("clean_energy_share_pct"),
         rounded(ratio(F.col("total_co2_tonnes") * 1000, energy), 2).alias("grid_carbon_intensity_gco2_kwh"),
-        yoy_change_pct("_co2_per_mwh", ["state_code"], "period_date").alias(
+        yoy_change_pct("_co2_per_mwh", ["state_code"], "period_date", 12, "state_description").alias(
             "carbon_intensity_yoy_change_pct"
         ),
     )
@@ -238,7 +243,7 @@ def executive_summary(
     weather: DataFrame,
     dedupe_dims: bool = False,
 ) -> DataFrame:
-    """The wide monthly mart. The published state list names Texas twice, and so does the
+    """The wide monthly mart. Of ``trends`` the retail side is enough. The published state list names Texas twice, and so does the
     result unless ``dedupe_dims``."""
     residential = trends.filter(F.col("sector_id") == "RES").select(
         "state_code",

@@ -77,3 +77,21 @@ def page(df: DataFrame, number: int = 0, size: int = 5000, tie_break: list[str]
     ties = tie_break or [name for name in df.columns if name != "period"]
     ordered = df.orderBy(F.desc_nulls_first("period"), *[F.asc_nulls_last(t) for t in ties])
     return ordered.offset(number * size).limit(size)
+
+
+def page_after(df: DataFrame, last: dict | None = None, size: int = 5000, tie_break: list[str] | None = None) -> DataFrame:
+    """The rows that follow ``last``, the last row of the page before, newest period first.
+
+    Whatever the page's number, a task keeps ``size`` rows: the rows before are filtered out,
+    not sorted and skipped. Without ``last`` it is the first page.
+    """
+    ties = tie_break or [name for name in df.columns if name != "period"]
+    if last is not None:
+        newest = F.col("period").isNotNull() if last["period"] is None else F.col("period") < last["period"]
+        later, equal = newest, F.col("period").eqNullSafe(F.lit(last["period"]))
+        for name in ties:
+            value = F.lit(last[name])
+            after = F.lit(False) if last[name] is None else (F.col(name) > value) | F.col(name).isNull()
+            later, equal = later | (equal & after), equal & F.col(name).eqNullSafe(value)
+        df = df.filter(later)
+    return df.orderBy(F.desc_nulls_first("period"), *[F.asc_nulls_last(t) for t in ties]).limit(size)

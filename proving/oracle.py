@@ -237,7 +237,7 @@ select *,
             + " * 100", 2)} as clean_energy_share_pct,
     {_round(_ratio("total_co2_tonnes * 1000", "total_generation_mwh"), 2)}
         as grid_carbon_intensity_gco2_kwh,
-    {_change(_PER_MWH, f"lag({_PER_MWH}, 12) over (partition by state_code order by period_date)")}
+    {_change(_PER_MWH, f"lag({_PER_MWH}, 12) over (partition by state_code order by period_date, state_description nulls last)")}
         as carbon_intensity_yoy_change_pct
 from state_months"""
 
@@ -634,6 +634,14 @@ _TEXTS: dict[str, str] = {
         + ", ".join(f"raw_generation.{c} asc nulls last" for c in column_names(schemas.GENERATION) if c != "period")
         + f" limit {q.PAGE_SIZE} offset {q.PAGE_NUMBER * q.PAGE_SIZE}",
     ),
+    "s10_seek_page": _doubles(
+        "raw_generation",
+        "generation_mwh",
+        "order by period desc nulls first, "
+        + ", ".join(f"raw_generation.{c} asc nulls last" for c in column_names(schemas.GENERATION) if c != "period")
+        + f" limit {q.PAGE_SIZE} offset {q.PAGE_NUMBER * q.PAGE_SIZE}",
+    ),
+    "s12_full_refresh": _doubles("raw_prices", "price_cents_per_kwh revenue_million_dollars sales_million_kwh"),
     "s11_trailing": _doubles(
         "raw_prices",
         "price_cents_per_kwh revenue_million_dollars sales_million_kwh",
@@ -727,6 +735,14 @@ _TEXTS: dict[str, str] = {
         from (select region, cast(forecast_hour as date) as issue_date, max(forecast_hour) as issued_at
               from raw_forecast group by all) i,
             (select cast(unnest(range({q.HORIZON_HOURS})) as integer) as h) hours""",
+    "e4_varying_horizon": f"""
+        select region, issue_date, issued_at, h as hours_ahead,
+            date_trunc('hour', issued_at) + to_hours(h) as forecast_hour,
+            {_shown("greatest(50, 99 - 0.3 * h)", 2, "confidence_pct")}
+        from (select region, cast(forecast_hour as date) as issue_date, max(forecast_hour) as issued_at
+              from raw_forecast group by all) i,
+            (select cast(unnest(range(168)) as integer) as h) hours
+        where h < day(issue_date) * 5""",
     "w2_pct_of_total": f"""
         select order_year, o_orderstatus, cast(total as double) as total,
             {_shown("cast(total as double) / nullif(cast(sum(total) over (partition by order_year) as double), 0) * 100", 2, "pct")}

@@ -26,8 +26,8 @@ from gridmart.operators.loads import append_load
 from gridmart.operators.snapshots import newest_rows, newest_rows_per_key
 from gridmart.plans import gold, reports, silver
 from gridmart.sources import dims, landing
-from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page, read_raw
-from gridmart.sources.sinks import publish_view
+from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page, page_after, read_raw
+from gridmart.sources.sinks import publish_view, read_table, refresh_table
 from gridmart.streaming import readings as streams
 from proving import adapters
 
@@ -114,7 +114,7 @@ def _footprint(spark: SparkSession, folder: str) -> DataFrame:
 def _summary(spark: SparkSession, folder: str, **options) -> DataFrame:
     return gold.executive_summary(
         _footprint(spark, folder),
-        _trends(spark, folder),
+        gold.retail_changes(_silver(spark, folder, "silver_prices_cleaned")),
         _silver(spark, folder, "silver_market_aggregated"),
         _silver(spark, folder, "silver_weather_aggregated"),
         **options,
@@ -330,6 +330,25 @@ def s10_page(spark, folder):
     return page(adapters.raw(spark, folder, schemas.GENERATION), PAGE_NUMBER, PAGE_SIZE)
 
 
+@_query
+def s10_seek_page(spark, folder):
+    """The same page, found by the last row of the page before it."""
+    rows = adapters.raw(spark, folder, schemas.GENERATION)
+    before = page(rows, PAGE_NUMBER - 1, PAGE_SIZE)
+    last = before.orderBy("period", *[F.desc_nulls_first(c) for c in before.columns if c != "period"]).first()
+    return page_after(rows, last.asDict(), PAGE_SIZE)
+
+
+@_query
+def s12_full_refresh(spark, folder):
+    """A table that is refreshed twice, the second time by more rows than the first."""
+    path = f"{session.scratch_path(spark, 's12')}/prices"
+    rows = adapters.raw(spark, folder, schemas.PRICES)
+    refresh_table(rows.filter(F.col("sector_id") == "RES"), path, ["period"])
+    refresh_table(rows, path, ["period"])
+    return read_table(spark, path).select(*rows.columns)
+
+
 @_query
 def s11_trailing(spark, folder):
     return facets(adapters.raw(spark, folder, schemas.PRICES), trailing_period(dt.date(2000, 6, 30), 90))
@@ -623,6 +642,15 @@ def e4_horizon(spark, folder):
     return hourly_spine(issues, "issued_at", HORIZON_HOURS)
 
 
+@_query
+def e4_varying_horizon(spark, folder):
+    """A forecast spine whose length differs from issue to issue."""
+    readings = adapters.raw(spark, folder, schemas.FORECAST)
+    day = F.to_date("forecast_hour").alias("issue_date")
+    issues = readings.groupBy("region", day).agg(F.max("forecast_hour").alias("issued_at"))
+    return hourly_spine(issues, "issued_at", F.dayofmonth("issue_date") * 5)
+
+
 # ---- helpers on native tables ------------------------------------------------------------
 
 

@@ -260,7 +260,7 @@ def test_carbon_join_golden(spark, lake, tmp_path, regions, gas, sun, tonnes):
     assert state.grid_carbon_intensity_gco2_kwh == Decimal("0.45")
     assert (state.renewable_share_pct, state.natural_gas_mwh) == (Decimal("1.89"), Decimal(gas))
     physical = gold.generation_by_fuel(generation, carbon, co2_divisor=gold.PHYSICAL_DIVISOR)
-    assert gold.carbon_footprint(physical).first().grid_carbon_intensity_gco2_kwh == Decimal("477.11")
+    assert gold.carbon_footprint(physical).first().grid_carbon_intensity_gco2_kwh == Decimal("446.42")
 
 
 def test_preaggregated_carbon_keeps_true_sums(spark, lake, tmp_path):
