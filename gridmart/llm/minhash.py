@@ -5,9 +5,10 @@ its signature; equal bands of minima propose pairs, a bit of each minimum is com
 pairs that cannot reach the threshold, and those left are confirmed on the full sets. Confirmed
 links join documents to components.
 
-Documents with equal sets are one node. In a bucket of a band every member is compared with the
-smallest one; only members left outside its component are then compared with the others, so a
-group of thousands of near copies costs one comparison each.
+Documents with equal sets are one node. In a bucket of a band every member is compared with one
+pivot, the member with the most company in all its buckets: in a group of copies of one text that is
+the text itself or one close to it. Only members left outside the pivot's component are then compared
+with the others, so a group of thousands of near copies costs about one comparison each.
 """
 
 from __future__ import annotations
@@ -57,9 +58,9 @@ class Scheme:
 
     @property
     def differing_bits(self) -> int:
-        """Sketch bits in which a pair at the threshold differs at most, by 6.5 standard deviations."""
+        """Sketch bits in which a pair at the threshold differs at most, by 5 standard deviations."""
         p = (1 - self.percent / 100) / 2
-        return ceil(SKETCH_BITS * p + 6.5 * sqrt(SKETCH_BITS * p * (1 - p)))
+        return ceil(SKETCH_BITS * p + 5 * sqrt(SKETCH_BITS * p * (1 - p)))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -217,11 +218,16 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
     return staged(loaded.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"), "links")
 
 
+def _bits() -> Column:
+    """The sketch bits in which x and y differ."""
+    bits = [F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_BITS // 64)]
+    return reduce(Column.__add__, bits)
+
+
 def _alike(scheme: Scheme) -> Column:
     """What two signatures must meet: sketches close enough, sizes within the threshold."""
-    bits = [F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_BITS // 64)]
     least, most = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return (reduce(Column.__add__, bits) <= scheme.differing_bits) & (least * 100 >= most * scheme.percent)
+    return (_bits() <= scheme.differing_bits) & (least * 100 >= most * scheme.percent)
 
 
 def _signed_alike(pairs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -239,13 +245,14 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
 
 
 def _residual(members: DataFrame, labels: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs of a bucket not yet joined by way of its smallest member, as far as signatures agree.
+    """Pairs of a bucket not yet joined by way of its pivot, as far as signatures agree, with the
+    bits in which they differ.
 
     A member outside the pivot's component meets all members of other components whose set sizes
     can reach the threshold.
     """
     known = _labelled(_labelled(members, labels, "id", "mine"), labels, "pivot", "main")
-    known = staged(known, "bucket-components")
+    known = staged(known.select("key", "id", "pivot", "mine", "main"), "bucket-components")
     outside = known.filter(F.col("mine") != F.col("main"))
     open_buckets = staged(outside.select("key").distinct(), "open-buckets")
     own = nodes.select("id", "n", "sketch", F.floor(F.log("n") / -log(scheme.percent / 100)).alias("step"))
@@ -256,7 +263,42 @@ def _residual(members: DataFrame, labels: DataFrame, nodes: DataFrame, scheme: S
     once = (F.col("y.mine") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     new = (F.col("x.mine") != F.col("y.mine")) & (F.col("y.id") != F.col("y.pivot"))
     met = left.join(right, both & once & new & _alike(scheme))
-    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    ends = F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
+    return met.select(*ends, _bits().alias("bits")).distinct()
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """(key, id, pivot, company): the members of buckets of more than one node, and the pivot of
+    each bucket with the sum of the sizes of its own buckets."""
+    banded = nodes.select("id", F.explode("bands").alias("key")).distinct()
+    shared = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    inside = staged(banded.join(staged(shared, "buckets"), "key"), "bucket-members")
+    company = staged(inside.groupBy("id").agg(F.sum("size").alias("company")), "company")
+    weighed = inside.select("key", "id").join(company, "id")
+    best = weighed.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best"))
+    pivots = staged(best.select("key", (-F.col("best.minus")).alias("pivot"), "best.company"), "pivots")
+    return staged(inside.select("key", "id").join(pivots, "key"), "members")
+
+
+def _pairs(one: str, two: str, rows: DataFrame) -> DataFrame:
+    return rows.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b")).distinct()
+
+
+def _joined(docs: DataFrame, labels: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
+    """The components after the pairs that are links have joined them."""
+    pairs = staged(pairs.select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return labels
+    known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(known.union(_confirmed(docs, pairs, scheme)))
+
+
+def _likeliest(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the pairs between two components the one whose signatures differ least."""
+    known = _labelled(_labelled(pairs, labels, "a", "one"), labels, "b", "two")
+    sides = F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")
+    known = known.filter(F.col("one") != F.col("two")).select(*sides, F.struct("bits", "a", "b").alias("pair"))
+    return known.groupBy("one", "two").agg(F.min("pair").alias("p")).select("p.a", "p.b")
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
@@ -277,22 +319,19 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
     firsts = staged(known.groupBy(*equal).agg(F.min("doc_id").alias("id")), "equal-sets")
     rows = known.withColumnRenamed("doc_id", "id").join(firsts, [*equal, "id"], "left_semi")
     nodes = staged(rows.select("id", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["id", "n"]), "nodes")
-    banded = nodes.select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
-    shared = staged(shared.filter(F.col("pivot") < F.col("last")).select("key", "pivot"), "buckets")
-    members = staged(banded.join(shared, "key"), "members")
-
-    # every node with its smallest pivot, then with its others, then what pivots have not joined
-    paired = members.filter(F.col("id") > F.col("pivot")).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    paired = staged(paired.distinct(), "pairs")
-    first = paired.groupBy("a").agg(F.min("b").alias("b"))
-    links = _confirmed(docs, _signed_alike(first, nodes, scheme), scheme)
-    labels = components(links)
-    for rest in (lambda: _signed_alike(_parted(paired, labels), nodes, scheme), lambda: _residual(members, labels, nodes, scheme)):
-        found = staged(rest(), "pairs")
-        if not found.isEmpty():
-            joined = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            labels = components(joined.union(_confirmed(docs, found, scheme)))
+    members = _members(nodes)
+
+    # every node with its best pivot, then with its others, then what pivots have not joined
+    met = members.filter(F.col("id") != F.col("pivot"))
+    paired = staged(met.select("id", "pivot", "company").distinct(), "pairs")
+    first = paired.groupBy("id").agg(F.max(F.struct("company", "pivot")).alias("best"))
+    likely = staged(_signed_alike(_pairs("id", "best.pivot", first), nodes, scheme), "pairs")
+    labels = components(_confirmed(docs, likely, scheme))
+    others = _parted(_pairs("id", "pivot", paired), labels)
+    labels = _joined(docs, labels, _signed_alike(others, nodes, scheme), scheme)
+    found = staged(_residual(members, labels, nodes, scheme), "pairs")
+    labels = _joined(docs, labels, _likeliest(found, labels), scheme)
+    labels = _joined(docs, labels, _parted(found, labels), scheme)
     named = staged(_labelled(firsts, labels, "id", "component"), "equal-components")
     out = signed.join(named.select(*equal, "component"), equal, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
