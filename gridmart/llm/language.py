@@ -214,8 +214,12 @@ def sample(rows: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS
     """At most ``texts`` labelled rows (doc_id, text, lang), drawn by a hash of the id; of each at
     most ``chars`` characters from a place drawn likewise."""
     drawn = F.xxhash64(F.lit("language"), "doc_id")
+    # a share of the rows that leaves several times what is wanted, so that tasks send few to the driver
+    share = 4 * texts / max(1, rows.filter(F.col("lang").isNotNull()).count())
     spare = F.greatest(F.length("text") - chars, F.lit(0)) + 1
     usable = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    if share < 1:
+        usable = usable.filter(F.pmod(drawn, F.lit(1 << 20)) < int(share * (1 << 20)))
     part = F.substring("text", (F.pmod(drawn, spare) + 1).cast("int"), F.lit(chars))
     held = usable.select(drawn.alias("drawn"), part.alias("text"), "lang").orderBy("drawn", "text").limit(texts)
     return [(r["text"], r["lang"]) for r in held.collect()]
@@ -271,6 +275,8 @@ class _Scorer:
 
     def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         languages = self.chain.languages
+        if not languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         if len(self.row) > REMEMBERED:
             self.row, self.table = {}, self.table[:0]
         chains = [self._rows(split_words(t.as_py() or "")) for t in texts]
@@ -280,7 +286,7 @@ class _Scorer:
         best, scores = [UNKNOWN] * len(chains), np.zeros(len(chains))
         lengths = np.array([len(c) for c in chains], np.int64)
         order = np.argsort(-lengths, kind="stable")
-        order = order[lengths[order] > 0] if languages else order[:0]
+        order = order[lengths[order] > 0]
         at = 0
         while at < len(order):
             total = np.cumsum(lengths[order[at:]])

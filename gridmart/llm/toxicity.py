@@ -272,6 +272,10 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES_PER_CLA
     drawn: list = []
     for label in sorted(totals):
         ids = known.filter(F.col("toxic") == label).withColumn("_draw", F.xxhash64(F.lit("toxic"), "doc_id"))
+        # a share of the rows that leaves several times what is wanted, so that tasks send few to the driver
+        share = 4 * per_class / totals[label]
+        if share < 1:
+            ids = ids.filter(F.pmod("_draw", F.lit(1 << 20)) < int(share * (1 << 20)))
         drawn += ids.orderBy("_draw", "doc_id").limit(per_class).select("doc_id", "toxic").collect()
     few = docs.sparkSession.createDataFrame(drawn, "doc_id long, toxic int")
     texts = docs.filter(F.octet_length("text") <= EXAMPLE_BYTES).join(F.broadcast(few), "doc_id")

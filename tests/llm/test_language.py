@@ -67,3 +67,10 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
     found = op6_language_field(spark, folder).filter("held_out").join(truth, "doc_id").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
+
+
+def test_sample_is_bounded_whatever_the_size(spark):
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('the text ', id) as text", "'en' as lang")
+    held = language.sample(rows, texts=40, chars=6)
+    assert 20 <= len(held) <= 40 and all(len(t) <= 6 for t, _ in held)
+    assert held == language.sample(rows.repartition(5), texts=40, chars=6)
