@@ -73,4 +73,4 @@ def test_no_pair_at_the_threshold_is_likely_missed():
     for percent in (80, 85, 90, 100):
         bands, rows = minhash.Scheme(percent=percent).banding
         assert (1 - (percent / 100) ** rows) ** bands <= 1e-7
-        assert bands * rows >= minhash.SKETCH_BITS
+        assert bands * rows <= minhash.Scheme().most
