@@ -50,23 +50,30 @@ def _blocks(line: Column, with_block: bool = True) -> Column:
     Lines of lengths c and c + 1 meet in class c, whose blocks are counted from both ends so that
     one more character inside a block moves nothing outside of it.
     """
-    n = F.length(line)
 
-    def of_class(c: Column, short: bool) -> Column:
-        count = F.greatest(F.lit(2), F.ceil(c / BLOCK_CHARS)).cast("int")
-        width = F.ceil(c / count).cast("int")
-
-        def block(j: Column) -> Column:
-            before = F.least(j * width, c)
-            after = F.greatest(c - (j + 1) * width, F.lit(0))
-            outside = F.xxhash64(c, j, F.substring(line, F.lit(1), before), F.right(line, after))
+    def of_line(n: Column) -> Column:
+        def class_of(c: Column, short: bool) -> Column:
+            count = F.greatest(F.lit(2), F.ceil(c / BLOCK_CHARS)).cast("int")
+            fields = {"c": c, "count": count, "width": F.ceil(c / count).cast("int"), "short": F.lit(short)}
+            return F.struct(*(value.alias(name) for name, value in fields.items()))
+
+        def blocks_of(k: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), k["count"] - 1), lambda j: block(k, j))
+
+        def block(k: Column, j: Column) -> Column:
+            before = F.least(j * k["width"], k["c"])
+            after = F.greatest(k["c"] - (j + 1) * k["width"], F.lit(0))
+            outside = F.xxhash64(
+                k["c"], j, F.substring(line, F.lit(1), before), F.substring(line, n - after + 1, after)
+            )
+            out = [outside.alias("key"), k["short"].alias("short")]
             inside = F.substring(line, before + 1, n - before - after)
-            out = [outside.alias("key"), F.lit(short).alias("short")]
             return F.struct(*out, *([inside.alias("block")] if with_block else []))
 
-        return F.transform(F.sequence(F.lit(0), count - 1), block)
+        return F.flatten(F.transform(F.array(class_of(n, True), class_of(n - 1, False)), blocks_of))
 
-    return F.concat(of_class(n, True), of_class(n - 1, False))
+    # a lambda's argument is computed once, whatever number of times it is named
+    return F.transform(F.array(F.length(line)), of_line)[0]
 
 
 def _identity(line: Column) -> list[Column]:
@@ -144,6 +151,11 @@ def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(other, on, how).drop("_doc2", "_row2")
 
 
+def _without_gone(all_lines: Column) -> Column:
+    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_gone"))
+    return F.array_join(F.transform(kept, lambda i: F.element_at(all_lines, i + 1)), "\n")
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1) -> DataFrame:
     """``docs`` with duplicate lines taken out of text, and n_lines and n_removed.
 
@@ -172,14 +184,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1)
     removed = reduce(DataFrame.union, gone).groupBy("_doc", "_row").agg(F.collect_set("_no").alias("_gone"))
     whole = docs.withColumns({"_doc": F.col("doc_id"), "_row": _row_key()})
     found = _joined(whole, staged(removed, "lines-gone"), "left")
-    split = F.split("text", "\n", -1)
-    last = F.greatest(F.size(split), F.lit(1)) - 1
-    kept = F.array_except(F.sequence(F.lit(0), last), F.col("_gone"))
-    text = F.array_join(F.transform(kept, lambda i: F.element_at(split, i + 1)), "\n")
+    # bound to a lambda's argument, so that the text is split once
+    kept = F.transform(F.array(F.split("text", "\n", -1)), _without_gone)[0]
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     out = {
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"),
+        "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text),
+        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept),
     }
     return found.select(*[out["text"].alias(c) if c == "text" else F.col(c) for c in docs.columns], *[
         out[c].alias(c) for c in ("n_lines", "n_removed")
