@@ -28,7 +28,8 @@ from gridmart.llm.components import components
 from gridmart.llm.language import slices
 
 SLICE_BYTES = 4 << 20
-SKETCH_BITS = 256
+#: Minima of which a bit each is compared before a pair is confirmed; bands use the first of them.
+SKETCH_BITS = 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,7 +54,7 @@ class Scheme:
         for rows in range(1, 17):
             bands = ceil(log(self.miss) / log(1 - (self.percent / 100) ** rows)) if self.percent < 100 else 1
             if bands * rows <= self.most:
-                fitting.append((max(bands, ceil(SKETCH_BITS / rows)), rows))
+                fitting.append((bands, rows))
         return fitting[-1]
 
     @property
@@ -116,7 +117,7 @@ class _Signer:
     def __init__(self, scheme: Scheme):
         self.bands, self.rows = scheme.banding
         rng = np.random.default_rng(scheme.seed)
-        n = self.bands * self.rows
+        n = max(self.bands * self.rows, SKETCH_BITS)
         self.times = (rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1))[:, None]
         self.plus = rng.integers(0, 1 << 32, n, dtype=np.uint32)[:, None]
         self.weights = rng.integers(0, 1 << 63, (self.bands, self.rows), dtype=np.uint64) | np.uint64(1)
@@ -124,14 +125,14 @@ class _Signer:
     def minima(self, shingles: np.ndarray) -> np.ndarray:
         values = (shingles >> np.uint64(32)).astype(np.uint32)
         out = np.full(len(self.times), np.iinfo(np.uint32).max, np.uint32)
-        for at in range(0, len(values), 4096):
-            hashed = self.times * values[None, at : at + 4096] + self.plus
+        for at in range(0, len(values), 512):
+            hashed = self.times * values[None, at : at + 512] + self.plus
             np.minimum(out, hashed.min(1), out)
         return out
 
     def keys(self, minima: np.ndarray) -> np.ndarray:
         """One key for each band."""
-        parts = minima.reshape(self.bands, self.rows).astype(np.uint64) * self.weights
+        parts = minima[: self.bands * self.rows].reshape(self.bands, self.rows).astype(np.uint64) * self.weights
         return _mix(parts.sum(1, dtype=np.uint64) + np.arange(self.bands, dtype=np.uint64) * _ODD).view(np.int64)
 
     @staticmethod
