@@ -346,8 +346,8 @@ def test_daily_run_twice(spark, tmp_path):
     summary = lake.mart("gold_executive_summary").collect()
     assert [(r.state_code, r.grid_region) for r in summary] == [("TX", "ERCOT"), ("TX", "ERCOT")]
     assert summary[0].residential_price_usd_mwh == Decimal("97.5")
-    assert (summary[0].wholesale_spot_price_usd_mwh, summary[0].avg_temperature_c) == (45, Decimal("17.25"))
-    assert summary[0].renewable_revenue_million_usd == Decimal("153.6953")
+    assert (summary[0].wholesale_spot_price_usd_mwh, summary[0].avg_temperature_c) == (38, Decimal("17.25"))
+    assert summary[0].renewable_revenue_million_usd == Decimal("97.4513")
     sheet = next((tmp_path / "reports" / "kpi_scorecard").glob("*.csv")).read_text().splitlines()
     assert sheet[0].startswith("Total Gen Twh,Avg Renewable Pct")
     assert len(sheet) == 2
