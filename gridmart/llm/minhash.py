@@ -137,7 +137,10 @@ class _Signer:
 
     @staticmethod
     def sketch(minima: np.ndarray) -> np.ndarray:
-        return np.packbits((minima[:SKETCH_BITS] & np.uint32(1)).astype(np.uint8)).view(np.int64)
+        """A bit of each minimum, mixed for each function: the multipliers are odd, so the minima's
+        own low bits would show the same bits of the shingles in all functions."""
+        mixed = _mix(minima[:SKETCH_BITS] + np.arange(SKETCH_BITS, dtype=np.uint64) * _ODD)
+        return np.packbits((mixed >> np.uint64(63)).astype(np.uint8)).view(np.int64)
 
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sketch array<long>, bands array<long>"

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,27 @@ def test_no_pair_at_the_threshold_is_likely_missed():
         bands, rows = minhash.Scheme(percent=percent).banding
         assert (1 - (percent / 100) ** rows) ** bands <= 1e-7
         assert bands * rows <= minhash.Scheme().most
+
+
+@pytest.mark.parametrize("percent,shared,each", [(85, 6, (1, 0)), (85, 7, (1, 0)), (85, 17, (2, 1)), (80, 4, (1, 0)), (80, 8, (1, 1))])
+def test_short_pairs_at_the_threshold_pass_the_sketch(percent, shared, each):
+    scheme = minhash.Scheme(3, percent)
+    signer, draw = minhash._Signer(scheme), np.random.default_rng(shared)
+    one, two = (shared + n for n in each)
+    assert 100 * shared >= percent * (one + two - shared)
+    differing = []
+    for _ in range(1500):
+        drawn = draw.integers(0, 1 << 64, one + two - shared, dtype=np.uint64)
+        sketches = [signer.sketch(signer.minima(s)).view(np.uint64) for s in (drawn[:one], np.delete(drawn, np.s_[shared:one]))]
+        differing.append(int(np.bitwise_count(sketches[0] ^ sketches[1]).sum()))
+    assert max(differing) <= scheme.differing_bits
+
+
+def test_short_texts_at_the_threshold_equal_all_pairs(spark):
+    draw = random.Random(4)
+    rows = []
+    for _ in range(400):
+        text = [f"{draw.randrange(10**9)}" for _ in range(9)]
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(text[:8]))]
+    found = minhash.near_duplicates(spark.createDataFrame([(*r, "") for r in rows], SCHEMA), minhash.Scheme(3, 85))
+    assert {r["component_id"] for r in found.collect()} == set(range(0, 800, 2))
