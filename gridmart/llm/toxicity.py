@@ -5,6 +5,9 @@ nearest examples by exact cosine are found block by block: the largest weight of
 block of examples bounds the block's cosines, and blocks that cannot reach the current k-th best are
 never opened. Neighbours vote by cosine; votes of the examples themselves, each left out of its own
 neighbours, calibrate votes to probabilities.
+
+Texts without such a term are compared by all their words, with the same examples and a calibration
+of their own, so that a rare word no test can tell apart still leads to the examples that have it.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +29,19 @@ from gridmart.llm.language import slices
 #: Bound of the labelled sample: examples of either class, and bytes of an example's text.
 EXAMPLES_PER_CLASS = 3000
 EXAMPLE_BYTES = 200_000
-#: Terms need this many examples, as many as this share of the toxic ones, and this chi-square
-#: against the classes.
+#: Terms need this many examples; the chance that any term is taken by accident is at most this.
 TERM_EXAMPLES = 3
-TERM_SHARE = 0.01
-TERM_CHI2 = 40.0
-TERMS = 1000
+TERM_CHANCE = 0.01
 #: Word beginnings that count as terms beside the words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: A term met this often in a text, or in at least this share of its words, counts once more each.
 GRADES = (2, 4)
 SHARES = (0.002, 0.01)
 NEIGHBOURS = 15
+#: Without a class-telling term cosines vote by this power: what is close decides.
+PLAIN_POWER = 4
+#: Candidates left when the search over all words turns to whole examples.
+CANDIDATES = 100
 BLOCK = 64
 SLICE_BYTES = 8 << 20
 REMEMBERED = 300_000
@@ -58,6 +63,80 @@ def graded(counts: dict[int, int], length: int) -> list[int]:
     return sorted(out)
 
 
+@dataclass
+class Plain:
+    """All words of the examples by TF-IDF, as postings by word and as vectors by example."""
+
+    words: dict[bytes, int] = field(default_factory=dict)
+    idf: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: Postings of word w: places ``starts[w]`` to ``starts[w + 1]``; its largest weight.
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    weights: np.ndarray = field(default_factory=lambda: np.empty(0))
+    largest: np.ndarray = field(default_factory=lambda: np.empty(0))
+    vectors: list = field(default_factory=list)
+
+    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Words of the examples in a text, and weights of unit length over them."""
+        known = sorted((at, n) for w, n in counts.items() if (at := self.words.get(w)) is not None)
+        at = np.array([a for a, _ in known], np.int64)
+        weights = self.idf[at] * (1 + np.log(np.array([n for _, n in known], float)))
+        return at, weights / np.sqrt((weights**2).sum() or 1.0)
+
+    def nearest(self, at: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the nearest examples that share a word; ties to the smaller row.
+
+        Words are read by the most they can give; once few examples can still be among the
+        nearest by what is unread, these alone are compared in full.
+        """
+        most = weights * self.largest[at]
+        order = np.argsort(-most, kind="stable")
+        unread = np.append(np.cumsum(most[order][::-1])[::-1], 0.0)
+        found = np.zeros(len(self.vectors))
+        done, step = 0, 8
+        while done < len(order):
+            for k in order[done : done + step].tolist():
+                a, b = self.starts[at[k]], self.starts[at[k] + 1]
+                found[self.rows[a:b]] += weights[k] * self.weights[a:b]
+            done, step = min(done + step, len(order)), 2 * step
+            if 0 <= skip:
+                found[skip] = 0
+            if done < len(order) and len(found) > CANDIDATES:
+                least = np.partition(found, -NEIGHBOURS)[-NEIGHBOURS]
+                able = np.flatnonzero(found + unread[done] >= least - 1e-9)
+                if unread[done] < least and len(able) <= CANDIDATES:
+                    query = dict(zip(at.tolist(), weights.tolist(), strict=True))
+                    for r in able.tolist():
+                        held, own = self.vectors[r]
+                        found[r] = sum(query.get(t, 0.0) * w for t, w in zip(held.tolist(), own.tolist(), strict=True))
+                    if 0 <= skip:
+                        found[skip] = 0
+                    mask = np.zeros(len(found), bool)
+                    mask[able] = True
+                    found[~mask] = 0
+                    break
+        rows = np.flatnonzero(found > 0)
+        top = rows[np.lexsort((rows, -found[rows].round(12)))][:NEIGHBOURS]
+        return top, found[top]
+
+
+def _plain(counted: list[Counter]) -> Plain:
+    plain = Plain()
+    having = Counter(w for seen in counted for w in seen)
+    plain.words = {w: k for k, w in enumerate(having)}
+    plain.idf = np.log((1 + len(counted)) / np.fromiter(having.values(), float, len(having)))
+    plain.vectors = [plain.vector(seen) for seen in counted]
+    if not having:
+        return plain
+    word = np.concatenate([at for at, _ in plain.vectors])
+    order = np.argsort(word, kind="stable")
+    plain.rows = np.repeat(np.arange(len(counted), dtype=np.int32), [len(at) for at, _ in plain.vectors])[order]
+    plain.weights = np.concatenate([w for _, w in plain.vectors])[order]
+    plain.starts = np.searchsorted(word[order], np.arange(len(having) + 1))
+    plain.largest = np.maximum.reduceat(plain.weights, plain.starts[:-1])
+    return plain
+
+
 @dataclass
 class Index:
     """Labelled examples as postings in blocks, with the largest weight of each term and block."""
@@ -75,6 +154,9 @@ class Index:
     #: Probability where no example has a term in common, and the calibration's steps.
     base: float = 0.0
     steps: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
+    #: The same for texts without a class-telling term, by all words.
+    plain: Plain = field(default_factory=Plain)
+    plain_steps: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
 
     def read(self, word: bytes) -> int:
         """The strongest term of a word, -1 if it has none."""
@@ -121,6 +203,12 @@ class Index:
         by = cosines * self.vote[rows]
         return float((by @ self.toxic[rows] + 0.5 * self.base) / (by.sum() + 0.5))
 
+    def plain_votes(self, rows: np.ndarray, cosines: np.ndarray) -> float:
+        """The same by all words; the classes' weights are left to the calibration, so that a copy
+        of an example of a rare class is still found."""
+        by = cosines**PLAIN_POWER
+        return float((by @ self.toxic[rows] + 0.5 * self.base) / (by.sum() + 0.5))
+
     def calibrated(self, vote: float) -> float:
         return float(np.interp(vote, *self.steps))
 
@@ -160,6 +248,8 @@ def build(examples: list[tuple[int, bytes, int]], totals: dict[int, int]) -> Ind
     vectors = [index.vector(ds) if ds else None for ds in held]
     _post(index, vectors)
     _calibrate(index, vectors)
+    index.plain = _plain(counted)
+    _calibrate_plain(index, vectors)
     return index
 
 
@@ -173,12 +263,17 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
     if not 0 < toxic < n:
         return
 
-    least = max(TERM_EXAMPLES, TERM_SHARE * toxic)
+    share = toxic / n
 
     def chi2(df: int, a: int) -> float:
-        if df < least or df == n:
+        """Chi-square; 0 where as uneven a draw of ``df`` examples is not rare enough, by the
+        bound of Chernoff and Hoeffding, which holds for small counts too."""
+        if df < TERM_EXAMPLES or df == n:
             return 0.0
         b, c, d = df - a, toxic - a, n - toxic - (df - a)
+        rare = sum(k * log(k / (df * p)) for k, p in ((a, share), (b, 1 - share)) if k)
+        if rare < needed:
+            return 0.0
         return n * (a * d - b * c) ** 2 / (toxic * (n - toxic) * df * (n - df))
 
     with_term, toxic_with = Counter(), Counter()
@@ -192,7 +287,9 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
         with_term.update(held)
         if y:
             toxic_with.update(held)
-    strong = {t for t, df in with_term.items() if chi2(df, toxic_with[t]) >= TERM_CHI2}
+    # two sides of every term that could be taken
+    needed = log(2 * max(1, sum(df >= TERM_EXAMPLES for df in with_term.values())) / TERM_CHANCE)
+    strong = {t for t, df in with_term.items() if chi2(df, toxic_with[t]) > 0}
     del with_term
     having: dict[bytes, set[int]] = {}
     for row, seen in enumerate(counted):
@@ -210,13 +307,13 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
         rows = set().union(*(having[w] for w in of_term[term] if w not in taken))
         return chi2(len(rows), len(rows & toxic_rows))
 
-    waiting = [(-s, t) for t in of_term if (s := strength(t)) >= TERM_CHI2]
+    waiting = [(-s, t) for t in of_term if (s := strength(t)) > 0]
     heapq.heapify(waiting)
-    while waiting and len(index.terms) < TERMS:
+    while waiting:
         before, term = heapq.heappop(waiting)
         now = strength(term)
         if now < -before:
-            if now >= TERM_CHI2:
+            if now > 0:
                 heapq.heappush(waiting, (-now, term))
             continue
         index.terms[term] = len(index.terms)
@@ -261,6 +358,25 @@ def _calibrate(index: Index, vectors: list) -> None:
     index.steps = (np.array([v for v, _ in steps]), np.maximum.accumulate([y for _, y in steps]))
 
 
+def _calibrate_plain(index: Index, vectors: list) -> None:
+    """Steps for texts without a class-telling term, from the examples that have none either.
+
+    A pool holds from its smallest to its largest vote; what is above all of them rises to 1.
+    """
+    weight, plain = index.vote, index.plain
+    without = [r for r, v in enumerate(vectors) if v is None and len(plain.vectors[r][0])]
+    said = sorted((index.plain_votes(*plain.nearest(*plain.vectors[r], skip=r)), r) for r in without)
+    pools: list[tuple[float, float, float, float]] = []  # weights, toxic weights, smallest and largest vote
+    for vote, r in said:
+        pools.append((weight[r], weight[r] * index.toxic[r], vote, vote))
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            (w, y, _, high), (v, x, low, _) = pools.pop(), pools.pop()
+            pools.append((v + w, x + y, low, high))
+    held = [(vote, y / w) for w, y, low, high in pools if w > 0 for vote in (low, high)]
+    steps = [(0.0, index.base), *held, (1.0, 1.0)]
+    index.plain_steps = (np.array([v for v, _ in steps]), np.maximum.accumulate([y for _, y in steps]))
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES_PER_CLASS) -> tuple[list, dict[int, int]]:
     """At most ``per_class`` rows (id, text, label) of either label, drawn by a hash of the id, and
     how many labelled ids there are of each. An id labelled both ways counts as toxic.
@@ -289,8 +405,9 @@ _FOUND = {"score": pa.float64(), "evidence": pa.list_(pa.int64())}
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """``docs`` with score (0 to 1) and evidence, the ids of the nearest examples, nearest first.
 
-    All other columns stay, older ones of these names go. Null and empty texts, and texts without
-    a term of the index, get the share of toxic examples among those without one, and no evidence.
+    All other columns stay, older ones of these names go. Texts without a class-telling
+    term are compared by all their words. Null and empty texts, and texts without a word of the
+    examples, get the share of toxic examples among those without a term, and no evidence.
     """
     kept = docs.drop(*_FOUND)
     sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -331,7 +448,7 @@ class _Scorer:
                 counts[term] += 1
         key = tuple(graded(counts, len(read)))
         if not key:
-            return self.index.base, []
+            return self._by_all_words(read)
         if key not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
@@ -340,3 +457,11 @@ class _Scorer:
             vote = self.index.votes(rows, cosines)
             self.known[key] = (self.index.calibrated(vote), self.index.ids[rows].tolist())
         return self.known[key]
+
+    def _by_all_words(self, read: list[bytes]) -> tuple[float, list[int]]:
+        index = self.index
+        at, weights = index.plain.vector(Counter(read))
+        rows, cosines = index.plain.nearest(at, weights)
+        if not len(rows):
+            return index.base, []
+        return float(np.interp(index.plain_votes(rows, cosines), *index.plain_steps)), index.ids[rows].tolist()

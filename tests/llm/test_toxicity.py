@@ -68,3 +68,40 @@ def test_sample_of_labels(spark):
     rows, totals = t.sample(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), per_class=10)
     assert totals == {0: 26, 1: 28}
     assert len(rows) <= 20 and {y for _, _, y in rows} == {0, 1}
+
+
+def test_copy_of_a_toxic_example_with_rare_words_finds_it():
+    draw = random.Random(6)
+    rare = [" ".join("".join(draw.choices("abcdefghijk", k=9)) for _ in range(2)) for _ in range(30)]
+    rows = made() + [(1000 + i, f"{r} w1 w2 w3".encode(), 1) for i, r in enumerate(rare)]
+    scorer = t._Scorer(t.build(rows, {0: 30_000, 1: 1300}))
+    for i, r in enumerate(rare):
+        score, evidence = scorer.score(f"{r.upper()} w1 w2 w3".encode())
+        assert score >= 0.3 and evidence[0] == 1000 + i
+    score, evidence = scorer.score(b"w1 w2 w3 w7 w9 w11 w20")
+    assert score < 0.3 and evidence
+
+
+def test_search_by_all_words_is_exact():
+    draw = random.Random(5)
+    names = [f"v{i}" for i in range(900)]
+    counted = [Counter(draw.choices(names, [1 / (k + 1) for k in range(900)], k=80)) for _ in range(700)]
+    plain = t._plain(counted)
+    whole = np.zeros((700, len(plain.words)))
+    for r, (at, weights) in enumerate(plain.vectors):
+        whole[r, at] = weights
+    for r in range(0, 700, 20):
+        at, weights = plain.vector(Counter({f"v{k}": 1 for k in draw.sample(range(900), 30)} | counted[r]))
+        cosines = whole[:, at] @ weights
+        cosines[r + 1] = 0
+        expected = sorted(range(700), key=lambda k: (-cosines[k].round(9), k))[: t.NEIGHBOURS]
+        rows, best = plain.nearest(at, weights, skip=r + 1)
+        assert rows.tolist() == expected
+        np.testing.assert_allclose(best, cosines[rows])
+
+
+def test_terms_are_bounded_by_neither_share_nor_number():
+    rows = [(i, f"p{i} q{i}".encode(), 0) for i in range(3000)]
+    rows += [(5000 + i, f"slur{i // 25} z{i}".encode(), 1) for i in range(3000)]
+    index = t.build(rows, {0: 3000, 1: 3000})
+    assert all(index.read(f"slur{k}".encode()) >= 0 for k in range(120))
