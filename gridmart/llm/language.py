@@ -15,11 +15,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Bounds of the training sample: texts, and characters of each from a place drawn by hash.
 SAMPLE_TEXTS = 2400
 SAMPLE_CHARS = 1200
+#: Texts that each of many languages may give at least.
+LEAST_TEXTS = 100
 #: Shape of the model: hashed features, longest n-gram, characters of a word that are looked at.
 BUCKETS = 1 << 15
 GRAMS = 4
@@ -211,18 +214,25 @@ def _pairs(forward: np.ndarray, onward: np.ndarray, inner: np.ndarray, move: np.
 
 
 def sample(rows: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """At most ``texts`` labelled rows (doc_id, text, lang), drawn by a hash of the id; of each at
-    most ``chars`` characters from a place drawn likewise."""
-    drawn = F.xxhash64(F.lit("language"), "doc_id")
-    # a share of the rows that leaves several times what is wanted, so that tasks send few to the driver
-    share = 4 * texts / max(1, rows.filter(F.col("lang").isNotNull()).count())
+    """Labelled rows (text, lang): of each language equally many different texts at most, ``texts``
+    in all but at least ``LEAST_TEXTS`` a language, drawn by a hash of the text; of each at most
+    ``chars`` characters from a place drawn likewise."""
+    drawn = F.xxhash64(F.lit("language"), "text")
     spare = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    if share < 1:
-        usable = usable.filter(F.pmod(drawn, F.lit(1 << 20)) < int(share * (1 << 20)))
-    part = F.substring("text", (F.pmod(drawn, spare) + 1).cast("int"), F.lit(chars))
-    held = usable.select(drawn.alias("drawn"), part.alias("text"), "lang").orderBy("drawn", "text").limit(texts)
-    return [(r["text"], r["lang"]) for r in held.collect()]
+    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", drawn.alias("drawn"))
+    held = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("drawn").alias("n")).collect()}
+    if not held:
+        return []
+    each = max(LEAST_TEXTS, texts // len(held)) if len(held) > 1 else texts
+    # a share of a language's texts that leaves several times what is wanted, so that few are sorted
+    below = [(lang, int(min(1.0, 4 * each / max(1, n)) * (1 << 40))) for lang, n in held.items()]
+    shares = rows.sparkSession.createDataFrame(below, "lang string, below long")
+    usable = usable.join(F.broadcast(shares), "lang").filter(F.pmod("drawn", F.lit(1 << 40)) < F.col("below"))
+    part = F.substring("text", (F.pmod("drawn", spare) + 1).cast("int"), F.lit(chars))
+    parts = usable.select("lang", "drawn", part.alias("text")).dropDuplicates(["lang", "drawn"])
+    numbered = parts.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("drawn", "text")))
+    found = numbered.filter(F.col("k") <= each).orderBy("lang", "k").collect()
+    return [(r["text"], r["lang"]) for r in found]
 
 
 _FOUND = {"lang_pred": pa.string(), "score": pa.float64()}

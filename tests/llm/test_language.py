@@ -74,3 +74,16 @@ def test_sample_is_bounded_whatever_the_size(spark):
     held = language.sample(rows, texts=40, chars=6)
     assert 20 <= len(held) <= 40 and all(len(t) <= 6 for t, _ in held)
     assert held == language.sample(rows.repartition(5), texts=40, chars=6)
+
+
+def test_every_language_is_drawn_and_repeats_count_once(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id as doc_id",
+        "if(id % 10000 = 7, concat('rara lingua ', id), if(id % 2 = 0, 'hot text', concat('the text ', id))) as text",
+        "if(id % 10000 = 7, 'xx', 'en') as lang",
+    )
+    held = language.sample(rows, texts=40)
+    assert sum(lang == "xx" for _, lang in held) == 2
+    english = [t for t, lang in held if lang == "en"]
+    assert len(english) == len(set(english)) == language.LEAST_TEXTS
+    assert "xx" in language.train(held).languages
