@@ -23,7 +23,7 @@ SAMPLE_TEXTS = 2400
 SAMPLE_CHARS = 1200
 #: Texts that each of many languages may give at least.
 LEAST_TEXTS = 100
-#: Shape of the model: hashed features, longest n-gram, characters of a word that are looked at.
+#: Shape of the model: hashed features, longest n-gram, longest word; longer runs of letters are several.
 BUCKETS = 1 << 15
 GRAMS = 4
 WIDTH = 24
@@ -36,11 +36,11 @@ CHAIN_WORDS = 300_000
 REMEMBERED = 400_000
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+").findall
+_WORD = re.compile(rf"[^\W\d_]{{1,{WIDTH}}}").findall
 
 
 def split_words(text: str) -> list[str]:
-    """Lower-cased runs of letters; none where the text has no letter."""
+    """Lower-cased runs of letters, longer ones in pieces of ``WIDTH``; none where the text has no letter."""
     found = _WORD(text.lower())
     return found if any(any(map(str.isalpha, w)) for w in found) else []
 
@@ -48,15 +48,12 @@ def split_words(text: str) -> list[str]:
 def _features(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
     """(words, features) bucket numbers; 0 stands for no feature.
 
-    n-grams of the word between its marks: those that hold a mark are its affixes. A word
-    longer than the width is seen by its two halves.
+    n-grams of the word between its marks: those that hold a mark are its affixes.
     """
-    half = WIDTH // 2
-    cut = [w if len(w) <= WIDTH else w[:half] + w[-half:] for w in words]
-    n = len(cut)
+    n = len(words)
     chars = np.zeros((n, WIDTH + 2), np.uint32)
-    chars[:, 1:-1] = np.array(cut, f"U{WIDTH}").view(np.uint32).reshape(n, WIDTH)
-    lengths = np.fromiter(map(len, cut), np.int64, n)
+    chars[:, 1:-1] = np.array(words, f"U{WIDTH}").view(np.uint32).reshape(n, WIDTH)
+    lengths = np.fromiter(map(len, words), np.int64, n)
     chars[:, 0] = 2
     chars[np.arange(n), lengths + 1] = 3
     columns = []

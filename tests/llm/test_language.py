@@ -87,3 +87,10 @@ def test_every_language_is_drawn_and_repeats_count_once(spark):
     english = [t for t, lang in held if lang == "en"]
     assert len(english) == len(set(english)) == language.LEAST_TEXTS
     assert "xx" in language.train(held).languages
+
+
+def test_all_letters_of_a_long_run_are_read():
+    middle = "".join(chr(0x4E00 + k) for k in range(100))
+    pieces = language.split_words(f"a{middle}b der")
+    assert "".join(pieces) == f"a{middle}bder" and max(map(len, pieces)) <= language.WIDTH
+    assert len(pieces) == 6
