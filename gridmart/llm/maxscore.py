@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridmart.llm.common import staged
+
 #: Queries sent to the tasks at once; more queries mean more blocks.
 QUERY_BLOCK = 8192
 #: Vectors that a task holds as postings at once.
@@ -109,8 +111,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: int
 
     ``vectors`` and ``queries`` are as :func:`integer_vectors` gives them. Ties go to the smaller
     vec_id; a query never finds its own vec_id; rows that repeat a vec_id are found once each.
-    Queries are handed to the tasks in blocks of ``query_block``, so that neither the driver nor a
-    broadcast holds more; no queries or no vectors give no rows.
+    Queries are handed to the tasks in blocks of about ``query_block``, one after the other, so that
+    neither the driver nor a broadcast holds more than one; rows that repeat a vec_id share a block.
+    No queries or no vectors give no rows.
     """
     spark = vectors.sparkSession
     blocks = -(-queries.count() // query_block)
@@ -119,7 +122,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: int
     for block in range(blocks):
         held = numbered.filter(F.col("_block") == block).select("vec_id", "vector").toArrow()
         sent = spark.sparkContext.broadcast(held)
-        hits = hits.union(vectors.select("vec_id", "vector").mapInArrow(_searcher(sent, k), HITS))
+        met = vectors.select("vec_id", "vector").mapInArrow(_searcher(sent, k), HITS)
+        if blocks > 1:  # the next block is fetched when this one is done and gone
+            met = staged(met, "hits")
+            sent.destroy()
+        hits = hits.union(met)
     ranked = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     found = hits.withColumn("rank", ranked).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")

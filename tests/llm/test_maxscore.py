@@ -44,3 +44,11 @@ def test_rows_in_every_state(spark):
     assert found(spark, rows, [0, 1, 2, 5], 10) == {(0, 1, 6, 2), (0, 2, 5, 0), (5, 1, 0, 0), (5, 2, 6, 0)}
     assert found(spark, [], [0], 10) == set()
     assert found(spark, [(0, [1.0], 0)], [0], 10) == set()
+
+
+def test_one_query_block_is_held_at_a_time(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(maxscore, "staged", lambda df, label, real=maxscore.staged: done.append(label) or real(df, label))
+    rows = spark.createDataFrame([(i, [i, 1]) for i in range(7)], "vec_id long, vector array<long>")
+    assert maxscore.top_k(rows, rows, 2, query_block=3).count() == 14
+    assert done == ["hits"] * 3
