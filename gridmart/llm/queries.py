@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, minhash, packing, shards, toxicity
+from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, minhash, packing, repair, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -149,6 +149,23 @@ def op10_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by a hash of where they stand."""
+    said = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
+    where = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    hit = F.crc32(where.cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", *said, hit.alias("hit")).filter("hit <> 0")
+    text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("hit") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("hit") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read(spark, folder, "conversations")
+    return repair.audited(conversations, damaged(conversations))
+
+
 _ESCAPED = r"regexp_replace({0}, '\\*(?:<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[ROLE\]|\[/ROLE\])', '\\\0', 'g')"
 
 SQL = {}
@@ -251,6 +268,60 @@ from d
 """
 
 
+#: crc32 bit by bit: a byte is mixed in, then eight bits are shifted out.
+_CRC32 = """xor(list_reduce(list_concat([4294967295], flatten([[ascii({0}[i]), -1, -1, -1, -1, -1, -1, -1, -1]
+    for i in range(1, length({0}) + 1)])),
+    lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, (c & 1) * 3988292384) end), 4294967295)"""
+SQL["op11_structure_repair"] = f"""
+with recursive said as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as place from conversations),
+hit as (select *, {_CRC32.format("place")} % 20 as h from said),
+damaged as (select conv_id, turn, case h when 4 then 'user' else role end as role,
+  case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+  unnest(range(case h when 0 then 0 when 3 then 2 else 1 end)) as copy from hit),
+placed as (select conv_id, turn, role, text,
+  row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+row as (select *, case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank'
+    when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') then 'truncated' end as fault,
+  lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair from placed),
+counted as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+  count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+  count(*) filter (where fault = 'truncated') as truncated,
+  count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal, count(*) as n from row group by conv_id),
+inserted as (from (values (0, 0, '', []::varchar[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']),
+  (0, 3, 'II', ['user:', 'assistant:']), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])) t(p, m, letters, turns)),
+edit as (from (values ('D', 0, 0, null), ('D', 1, 1, null), ('D', 2, 2, null), ('D', 3, 3, null), ('R', 0, 2, null),
+  ('R', 1, 2, null), ('R', 3, 2, null), ('R', 2, 3, null), ('K', 0, 1, 's'), ('K', 0, 2, 'u'), ('K', 1, 2, 'u'),
+  ('K', 3, 2, 'u'), ('K', 2, 3, 'a')) t(letter, m, q, initial)),
+way as (select conv_id, 0::bigint as i, 0 as q, {{'cost': 0::bigint, 'audit': '', 'turns': []::varchar[]}} as best
+    from (select distinct conv_id from row)
+  union all
+  select way.conv_id, row.i, edit.q, min({{
+    'cost': best.cost + 5 * length(letters) + case letter when 'D' then 2 when 'R' then 1 else 0 end
+      + case when fault = 'truncated' and letter <> 'D' then 5 else 0 end,
+    'audit': best.audit || letters || letter,
+    'turns': best.turns || inserted.turns || case letter when 'D' then []::varchar[]
+      when 'K' then [role || ':' || text] else [case edit.q when 2 then 'user:' else 'assistant:' end || text] end}})
+  from way join row on row.conv_id is not distinct from way.conv_id and row.i = way.i + 1
+    join inserted on inserted.p = way.q join edit on edit.m = inserted.m
+  where (letter = 'D' or fault is null or fault = 'truncated') and (letter <> 'K' or initial = left(role, 1))
+  group by way.conv_id, row.i, edit.q),
+ended as (select way.conv_id, min({{'cost': best.cost + 5 * length(tail), 'audit': best.audit || tail,
+    'turns': best.turns || last}}) as best
+  from way join counted on counted.conv_id is not distinct from way.conv_id and way.i = n
+    join (values (0, '', []::varchar[]), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])) t(q, tail, last)
+      on t.q = way.q group by way.conv_id)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0) as cost,
+  coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(best.turns, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+  left join counted on counted.conv_id is not distinct from c.conv_id
+  left join ended on ended.conv_id is not distinct from c.conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
@@ -263,6 +334,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity_neighbours,
         op9_pattern_packing,
         op10_sampled_splitters,
+        op11_structure_repair,
     )
     return {query.__name__: query for query in found}
 

@@ -16,7 +16,7 @@ def checking():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.queries()) == list(range(1, 14))
     assert set(SQL) <= set(catalogue.queries())
 
 
