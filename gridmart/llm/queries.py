@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, language, lines, maxscore, minhash, packing, repair, shards, toxicity
+from gridmart.llm import arc, chat, decontaminate, divergence, language, lines, maxscore, minhash, packing, repair, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -166,6 +166,10 @@ def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.audited(conversations, damaged(conversations))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergences(read(spark, folder, "documents"))
+
+
 _ESCAPED = r"regexp_replace({0}, '\\*(?:<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[ROLE\]|\[/ROLE\])', '\\\0', 'g')"
 
 SQL = {}
@@ -322,6 +326,30 @@ from (select distinct conv_id from conversations) c
 """
 
 
+SQL["op12_source_divergence"] = f"""
+with doc as (select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+word as (select d, lang, source, unnest(w) as term from doc),
+kept as (select lang, term, sum(n)::bigint as n from (select lang, term, d, count(*) as n from word group by all)
+  group by lang, term having count(*) >= 10),
+grp as (select distinct lang, source from doc),
+own as (select lang, source, term, count(*) as n from word group by all),
+held as (select grp.lang, grp.source, kept.term, coalesce(own.n, 0) as n, kept.n as lang_n from grp join kept using (lang)
+  left join own on own.lang = grp.lang and own.source = grp.source and own.term = kept.term),
+size as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+share as (select lang, source, term, n, 1 + 1000000000::hugeint * (n + 2) // (sum(n) over (partition by lang, source) + 2 * v) as p,
+  1 + 1000000000::hugeint * (lang_n + 2) // (total + 2 * v) as q from held join size using (lang)),
+pair as (select a.lang, a.source, b.source as item, coalesce(sum((s.p - t.p) * (s.p - t.p) // (s.p + t.p)), 0)::bigint as value
+  from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join share s on s.lang = a.lang and s.source = a.source
+  left join share t on t.lang = b.lang and t.source = b.source and t.term = s.term group by all),
+found as (select lang, source, 'pair' as part, item, value from pair
+  union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from share where n > 0 and p > q)
+select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+from found qualify part = 'pair' or rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format,
@@ -335,6 +363,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_pattern_packing,
         op10_sampled_splitters,
         op11_structure_repair,
+        op12_source_divergence,
     )
     return {query.__name__: query for query in found}
 
