@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import arc, chat, decontaminate, divergence, language, lines, maxscore, minhash, packing, repair, shards, toxicity
+from gridmart.llm import arc, chat, decontaminate, divergence, language, lines, maxscore, minhash, ngrams, packing, repair, shards, toxicity
 from gridmart.llm.common import crc_bucket, read
 
 #: The conversation that every run of the first query adds.
@@ -170,6 +170,12 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergences(read(spark, folder, "documents"))
 
 
+def op13_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7).eqNullSafe(2).alias("held_out")
+    docs = read(spark, folder, "documents").select("doc_id", out, "text")
+    return ngrams.score(docs, ngrams.train(docs.filter(~F.col("held_out"))))
+
+
 _ESCAPED = r"regexp_replace({0}, '\\*(?:<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[ROLE\]|\[/ROLE\])', '\\\0', 'g')"
 
 SQL = {}
@@ -364,6 +370,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_sampled_splitters,
         op11_structure_repair,
         op12_source_divergence,
+        op13_kneser_ney,
     )
     return {query.__name__: query for query in found}
 
