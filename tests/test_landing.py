@@ -148,7 +148,7 @@ def test_weather_forecast_unfolds_like_any_other(spark, tmp_path):
     document = {"region": "SPP", "generated_at": "2024-01-01T10:00:00Z", "forecast_hours": 1, "forecast": [point]}
     path = land(tmp_path / "f", "a", document)
     row = landing.flatten_forecast(landing.read_forecasts(spark, path, landing.WEATHER_FORECAST_SCHEMA)).first()
-    assert (row.region, row.precipitation_mm, row.weather_condition) == ("SPP", "0.4", "Clear")
+    assert (row.region, row.precipitation_mm, row.weather_condition) == ("SPP", "0.4", WEATHER["weather_condition"])
 
 
 def test_out_of_bounds_names_the_columns(spark):

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from proving.queries import queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = queries()
 STREAMED = [n for n in QUERIES if n.startswith("x")]
 
 
