@@ -12,6 +12,7 @@ of their own, so that a rare word no test can tell apart still leads to the exam
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections import Counter
 from collections.abc import Iterator
@@ -63,6 +64,19 @@ def graded(counts: dict[int, int], length: int) -> list[int]:
     return sorted(out)
 
 
+def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each begin up to its end, in order, and how many each gives."""
+    sizes = end - begin
+    upto = np.cumsum(sizes)
+    return np.repeat(begin - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0), sizes
+
+
+def gathered(begin, end, weights, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of several posting lists, one list behind the other, and what each posting adds."""
+    place, sizes = spans(begin, end)
+    return rows[place], np.repeat(weights, sizes) * own[place]
+
+
 @dataclass
 class Plain:
     """All words of the examples by TF-IDF, as postings by word and as vectors by example."""
@@ -75,6 +89,12 @@ class Plain:
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
     largest: np.ndarray = field(default_factory=lambda: np.empty(0))
     vectors: list = field(default_factory=list)
+    #: The vectors one behind the other: words and weights of example r are at ``vector_starts[r]`` on.
+    vector_starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    vector_words: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    vector_weights: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: A text's weights by word while it is compared, else zeros.
+    query: np.ndarray | None = None
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Words of the examples in a text, and weights of unit length over them."""
@@ -95,30 +115,39 @@ class Plain:
         found = np.zeros(len(self.vectors))
         done, step = 0, 8
         while done < len(order):
-            for k in order[done : done + step].tolist():
-                a, b = self.starts[at[k]], self.starts[at[k] + 1]
-                found[self.rows[a:b]] += weights[k] * self.weights[a:b]
+            some = order[done : done + step]
+            rows, given = gathered(self.starts[at[some]], self.starts[at[some] + 1], weights[some], self.rows, self.weights)
+            found += np.bincount(rows, given, len(found))
             done, step = min(done + step, len(order)), 2 * step
             if 0 <= skip:
                 found[skip] = 0
             if done < len(order) and len(found) > CANDIDATES:
                 least = np.partition(found, -NEIGHBOURS)[-NEIGHBOURS]
-                able = np.flatnonzero(found + unread[done] >= least - 1e-9)
-                if unread[done] < least and len(able) <= CANDIDATES:
-                    query = dict(zip(at.tolist(), weights.tolist(), strict=True))
-                    for r in able.tolist():
-                        held, own = self.vectors[r]
-                        found[r] = sum(query.get(t, 0.0) * w for t, w in zip(held.tolist(), own.tolist(), strict=True))
-                    if 0 <= skip:
-                        found[skip] = 0
-                    mask = np.zeros(len(found), bool)
-                    mask[able] = True
-                    found[~mask] = 0
-                    break
+                if unread[done] < least:
+                    able = np.flatnonzero(found + unread[done] >= least - 1e-9)
+                    if len(able) <= CANDIDATES:
+                        whole = self._cosines(able, at, weights)
+                        found = np.zeros(len(found))
+                        found[able] = whole
+                        if 0 <= skip:
+                            found[skip] = 0
+                        break
         rows = np.flatnonzero(found > 0)
         top = rows[np.lexsort((rows, -found[rows].round(12)))][:NEIGHBOURS]
         return top, found[top]
 
+    def _cosines(self, rows: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of some examples with a text, over all their words."""
+        if self.query is None:
+            self.query = np.zeros(len(self.words))
+        self.query[at] = weights
+        begin, end = self.vector_starts[rows], self.vector_starts[rows + 1]
+        place, _ = spans(begin, end)
+        of_row = np.repeat(np.arange(len(rows)), end - begin)
+        held = self.query[self.vector_words[place]] * self.vector_weights[place]
+        self.query[at] = 0
+        return np.bincount(of_row, held, len(rows))
+
 
 def _plain(counted: list[Counter]) -> Plain:
     plain = Plain()
@@ -129,9 +158,11 @@ def _plain(counted: list[Counter]) -> Plain:
     if not having:
         return plain
     word = np.concatenate([at for at, _ in plain.vectors])
+    plain.vector_starts = np.concatenate([[0], np.cumsum([len(at) for at, _ in plain.vectors])])
+    plain.vector_words, plain.vector_weights = word, np.concatenate([w for _, w in plain.vectors])
     order = np.argsort(word, kind="stable")
     plain.rows = np.repeat(np.arange(len(counted), dtype=np.int32), [len(at) for at, _ in plain.vectors])[order]
-    plain.weights = np.concatenate([w for _, w in plain.vectors])[order]
+    plain.weights = plain.vector_weights[order]
     plain.starts = np.searchsorted(word[order], np.arange(len(having) + 1))
     plain.largest = np.maximum.reduceat(plain.weights, plain.starts[:-1])
     return plain
@@ -172,28 +203,24 @@ class Index:
         """Rows and cosines of the nearest examples that share a term; ties to the smaller row."""
         bound = weights @ self.largest[at]
         order = np.argsort(-bound, kind="stable")
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        for block in order.tolist():
-            if bound[block] <= 0:
+        order = order[bound[order] > 0]
+        found = np.zeros(len(self.ids))
+        best_rows = np.empty(0, np.int64)
+        done, step = 0, 4
+        while done < len(order):
+            # blocks are opened in chunks, the postings of all terms in them at once
+            blocks = order[done : done + step]
+            begin, end = self.starts[at[:, None], blocks], self.starts[at[:, None], blocks + 1]
+            each = np.repeat(weights, len(blocks))
+            found += np.bincount(*gathered(begin.ravel(), end.ravel(), each, self.rows, self.weights), len(found))
+            done, step = done + step, 2 * step
+            if 0 <= skip:
+                found[skip] = 0
+            rows = np.flatnonzero(found > 0)
+            best_rows = rows[np.lexsort((rows, -found[rows].round(12)))][:NEIGHBOURS]
+            if done < len(order) and len(best_rows) == NEIGHBOURS and bound[order[done]] + 1e-12 < found[best_rows[-1]]:
                 break
-            if len(best) == NEIGHBOURS:
-                reach = bound[block] + 1e-12
-                if reach < best[-1]:
-                    break
-                if bound[block] <= best[-1] + 1e-12 and block * BLOCK > best_rows[-1]:
-                    continue  # could only tie, and loses ties
-            found = np.zeros(BLOCK)
-            for term, weight in zip(at.tolist(), weights.tolist(), strict=True):
-                a, b = self.starts[term, block], self.starts[term, block + 1]
-                found[self.rows[a:b] - block * BLOCK] += weight * self.weights[a:b]
-            inside = np.flatnonzero(found > 0)
-            rows = inside + block * BLOCK
-            keep = rows != skip
-            best_rows = np.concatenate([best_rows, rows[keep]])
-            best = np.concatenate([best, found[inside[keep]]])
-            top = np.lexsort((best_rows, -best.round(12)))[:NEIGHBOURS]
-            best_rows, best = best_rows[top], best[top]
-        return best_rows, best
+        return best_rows, found[best_rows]
 
     def votes(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Share of the neighbours' votes for toxic, each by its cosine and its class's weight.
@@ -428,7 +455,7 @@ class _Scorer:
     def __init__(self, index: Index):
         self.index = index
         self.of_word: dict[bytes, int] = {}
-        self.known: dict[tuple, tuple[float, list[int]]] = {}
+        self.known: dict[tuple | bytes, tuple[float, list[int]]] = {}
 
     def _term(self, word: bytes) -> int:
         if len(self.of_word) >= REMEMBERED:
@@ -446,18 +473,24 @@ class _Scorer:
                 term = self._term(word)
             if term >= 0:
                 counts[term] += 1
-        key = tuple(graded(counts, len(read)))
-        if not key:
-            return self._by_all_words(read)
+        key = tuple(graded(counts, len(read))) or hashlib.blake2b(text, digest_size=16).digest()
+        if not counts:
+            if key not in self.known:
+                self._room()
+                self.known[key] = self._by_all_words(read)
+            return self.known[key]
         if key not in self.known:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
+            self._room()
             at, weights = self.index.vector(list(key))
             rows, cosines = self.index.nearest(at, weights)
             vote = self.index.votes(rows, cosines)
             self.known[key] = (self.index.calibrated(vote), self.index.ids[rows].tolist())
         return self.known[key]
 
+    def _room(self) -> None:
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+
     def _by_all_words(self, read: list[bytes]) -> tuple[float, list[int]]:
         index = self.index
         at, weights = index.plain.vector(Counter(read))
