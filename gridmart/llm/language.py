@@ -256,11 +256,12 @@ def identify(docs: DataFrame, chain: Chain) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in parts of about ``limit`` bytes of text, a row at least."""
+def slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``limit`` bytes of text, or numbers of a list, a row at least."""
     import pyarrow.compute as pc
 
-    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+    length = pc.list_value_length if pa.types.is_list(batch[column].type) else pc.binary_length
+    sizes = pc.fill_null(length(batch[column]), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes, dtype=np.int64) // limit
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for start, end in zip(edges, edges[1:]):

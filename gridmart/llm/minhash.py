@@ -7,8 +7,9 @@ links join documents to components.
 
 Documents with equal sets are one node. In a bucket of a band every member is compared with one
 pivot, the member with the most company in all its buckets: in a group of copies of one text that is
-the text itself or one close to it. Only members left outside the pivot's component are then compared
-with the others, so a group of thousands of near copies costs about one comparison each.
+the text itself or one close to it. Members left outside the pivot's component are compared with those
+alone that share rare differences from the pivot with them, which any two linked members do, so a
+group of thousands of near copies costs about one comparison each.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from math import ceil, log, sqrt
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import staged
@@ -146,6 +148,18 @@ class _Signer:
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sketch array<long>, bands array<long>"
 
 
+#: What tells one set from another.
+EQUAL = ["set_a", "set_b", "n_shingles"]
+
+
+def set_names(shingles: np.ndarray) -> tuple[int | None, int | None]:
+    """Two numbers that stand for a set."""
+    if not len(shingles):
+        return None, None
+    pair = shingles.sum(dtype=np.uint64), _mix(shingles).sum(dtype=np.uint64)
+    return tuple(int(x.view(np.int64)) for x in pair)
+
+
 def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, sketch, bands): set_a and set_b stand for the set as a whole.
 
@@ -160,13 +174,11 @@ def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 for text in part["text"].cast(pa.large_binary()):
                     found = hasher.shingles(text.as_py() or b"", scheme.shingle)
                     counts.append(len(found))
+                    sums.append(set_names(found))
                     if not len(found):
-                        sums.append((None, None))
                         sketches.append(None)
                         keys.append(None)
                         continue
-                    pair = found.sum(dtype=np.uint64), _mix(found).sum(dtype=np.uint64)
-                    sums.append(tuple(int(x.view(np.int64)) for x in pair))
                     minima = signer.minima(found)
                     sketches.append(signer.sketch(minima))
                     keys.append(signer.keys(minima))
@@ -186,24 +198,30 @@ def signatures(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SIGNED)
 
 
-def _sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
-    """(id, shingles) of the documents in ``ids``."""
+def _sets(docs: DataFrame, firsts: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, shingles) of the nodes in ``ids``, as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
         for batch in batches:
             for part in slices(batch, SLICE_BYTES):
-                found = [
-                    hasher.shingles(t.as_py() or b"", scheme.shingle).view(np.int64)
-                    for t in part["text"].cast(pa.large_binary())
-                ]
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
-
-    held = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return held.mapInArrow(run, "id long, shingles array<long>")
-
-
-def _confirmed(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
+                found = [hasher.shingles(t.as_py() or b"", scheme.shingle) for t in part["text"].cast(pa.large_binary())]
+                named = [set_names(f) for f in found]
+                arrays = [pa.array([n[k] for n in named], pa.int64()) for k in range(2)]
+                sizes = pa.array([len(f) for f in found], pa.int64())
+                held = pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *arrays, sizes, held], ["doc_id", *EQUAL, "shingles"])
+
+    wanted = staged(firsts.join(ids, "id", "left_semi"), "wanted")
+    held = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
+    read = held.mapInArrow(run, "doc_id long, set_a long, set_b long, n_shingles long, shingles array<long>")
+    sets = staged(read.join(wanted, ["doc_id", *EQUAL]).select("id", "shingles"), "sets")
+    if sets.groupBy("id").count().filter("count > 1").isEmpty():
+        return sets
+    return staged(sets.dropDuplicates(["id"]), "sets")  # rows repeated in the input
+
+
+def _confirmed(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold, as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +234,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = staged(_sets(docs, ids, scheme), "sets")
+    sets = _sets(docs, firsts, ids, scheme)
     loaded = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
     loaded = loaded.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     return staged(loaded.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"), "links")
@@ -248,27 +266,81 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return rows.join(held, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _residual(members: DataFrame, labels: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs of a bucket not yet joined by way of its pivot, as far as signatures agree, with the
-    bits in which they differ.
+def _apart(docs: DataFrame, firsts: DataFrame, held: DataFrame, scheme: Scheme) -> DataFrame:
+    """``held`` (pivot, id, ...) with n and n_pivot, the sizes of the sets, and apart, the shingles
+    that one of both has."""
+    names = held.columns
 
-    A member outside the pivot's component meets all members of other components whose set sizes
-    can reach the threshold.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, SLICE_BYTES, "left"):
+                pairs = [tuple(x.values.to_numpy() for x in two) for two in zip(part["left"], part["right"], strict=True)]
+                sizes = [pa.array([len(p[k]) for p in pairs], pa.int64()) for k in range(2)]
+                apart = pa.array([np.setxor1d(*p, assume_unique=True) for p in pairs], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), *sizes, apart], [*names, "n", "n_pivot", "apart"])
+
+    ids = held.select(F.explode(F.array("id", "pivot")).alias("id")).distinct()
+    sets = _sets(docs, firsts, ids, scheme)
+    loaded = held.join(sets.select("id", F.col("shingles").alias("left")), "id")
+    loaded = loaded.join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("right")), "pivot")
+    schema = ", ".join([f"{c} long" for c in names] + ["n long, n_pivot long, apart array<long>"])
+    return loaded.select(*names, "left", "right").mapInArrow(run, schema)
+
+
+def _edits(apart: DataFrame, scheme: Scheme) -> DataFrame:
+    """(pivot, edit, id, mine, main, n, size, place, asks, answers): the rarest of each member's edits,
+    the shingles that it or the pivot alone has; edits of one member only are left out.
+
+    If x is not linked with the pivot p, each y that it is linked with shares edits with it: were
+    none shared, both would differ by all of them, more than the threshold allows. With c = (1 - t) /
+    (1 + t), they share at least (E(x) + E(y) - c(x + y)) / 2 edits, which is (E(x) - c(x + p)) / 2 or
+    more for x whatever y is, and more than (E(y) + c(p - y)) / 2 for y whatever x is. Of sets that
+    share k elements in an order of all of them the first size - k + 1 have one in common, so that only
+    these ask (x) or answer (y); the rarest come first.
+    """
+    each = apart.withColumn("size", F.size("apart").cast("long")).withColumn("edit", F.explode("apart")).drop("apart")
+    shared = each.groupBy("pivot", "edit").agg(F.count("*").alias("often")).filter("often > 1")
+    known = each.join(staged(shared, "shared-edits"), ["pivot", "edit"])
+    mine = W.partitionBy("pivot", "id")
+    place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "edit"))
+    more, less = 100 + scheme.percent, 100 - scheme.percent
+    size = F.col("size") * more
+    asks = F.greatest(F.lit(1), F.ceil((size - less * (F.col("n") + F.col("n_pivot"))) / (2 * more)))
+    answers = F.greatest(F.lit(1), F.floor((size + less * (F.col("n_pivot") - F.col("n"))) / (2 * more)) + 1)
+    near = known.withColumns({"place": place, "asks": asks, "answers": answers})
+    names = ["pivot", "edit", "id", "mine", "main", "n", "size", "place"]
+    asking = (F.col("mine") != F.col("main")) & (F.col("place") <= F.col("size") - F.col("asks") + 1)
+    answering = F.col("place") <= F.col("size") - F.col("answers") + 1
+    rows = near.select(*names, asking.alias("asks"), answering.alias("answers"))
+    return staged(rows.filter("asks or answers"), "edits")
+
+
+def _residual(docs: DataFrame, firsts: DataFrame, members: DataFrame, labels: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs of a bucket not yet joined by way of its pivot, as far as their edits agree; ``lacking``
+    tells how far they may be below the threshold at most, less if closer.
+
+    Members outside the pivot's component are compared with those that share rare edits with them: in
+    a group of near copies whose edits are their own, none are.
     """
-    known = _labelled(_labelled(members, labels, "id", "mine"), labels, "pivot", "main")
-    known = staged(known.select("key", "id", "pivot", "mine", "main"), "bucket-components")
+    known = _labelled(_labelled(members.select("id", "pivot").distinct(), labels, "id", "mine"), labels, "pivot", "main")
+    known = staged(known.filter(F.col("id") != F.col("pivot")).select("pivot", "id", "mine", "main"), "bucket-components")
     outside = known.filter(F.col("mine") != F.col("main"))
-    open_buckets = staged(outside.select("key").distinct(), "open-buckets")
-    own = nodes.select("id", "n", "sketch", F.floor(F.log("n") / -log(scheme.percent / 100)).alias("step"))
-    right = known.join(open_buckets, "key").join(own, "id")
-    left = outside.join(own, "id").withColumn("step", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))))
-    left, right = staged(left, "outside").alias("x"), staged(right, "inside").alias("y")
-    both = (F.col("x.key") == F.col("y.key")) & (F.col("x.step") == F.col("y.step"))
+    held = known.join(staged(outside.select("pivot").distinct(), "open-buckets"), "pivot")
+    edits = _edits(staged(_apart(docs, firsts, held, scheme), "apart"), scheme)
+    x, y = edits.filter("asks").alias("x"), edits.filter("answers").alias("y")
     once = (F.col("y.mine") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    new = (F.col("x.mine") != F.col("y.mine")) & (F.col("y.id") != F.col("y.pivot"))
-    met = left.join(right, both & once & new & _alike(scheme))
+    new = (F.col("x.mine") != F.col("y.mine")) & (F.col("x.id") != F.col("y.id"))
+    more, less = 100 + scheme.percent, 100 - scheme.percent
+    sizes, counts = F.col("x.size") + F.col("y.size"), F.col("x.n") + F.col("y.n")
+    # what they can still share from here on, against what they have to share
+    able = 1 + F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    lacking = sizes * more - counts * less - able * 2 * more
+    least, most = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    near = (lacking <= 0) & (least * 100 >= most * scheme.percent)
+    same = (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.edit") == F.col("y.edit"))
     ends = F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
-    return met.select(*ends, _bits().alias("bits")).distinct()
+    met = x.join(y, same & once & new & near).select(*ends, lacking.alias("lacking"))
+    return met.groupBy("a", "b").agg(F.min("lacking").alias("lacking"))
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -288,20 +360,20 @@ def _pairs(one: str, two: str, rows: DataFrame) -> DataFrame:
     return rows.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b")).distinct()
 
 
-def _joined(docs: DataFrame, labels: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
+def _joined(docs: DataFrame, firsts: DataFrame, labels: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
     """The components after the pairs that are links have joined them."""
     pairs = staged(pairs.select("a", "b"), "pairs")
     if pairs.isEmpty():
         return labels
     known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return components(known.union(_confirmed(docs, pairs, scheme)))
+    return components(known.union(_confirmed(docs, firsts, pairs, scheme)))
 
 
 def _likeliest(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Of the pairs between two components the one whose signatures differ least."""
+    """Of the pairs between two components the closest."""
     known = _labelled(_labelled(pairs, labels, "a", "one"), labels, "b", "two")
     sides = F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")
-    known = known.filter(F.col("one") != F.col("two")).select(*sides, F.struct("bits", "a", "b").alias("pair"))
+    known = known.filter(F.col("one") != F.col("two")).select(*sides, F.struct("lacking", "a", "b").alias("pair"))
     return known.groupBy("one", "two").agg(F.min("pair").alias("p")).select("p.a", "p.b")
 
 
@@ -319,10 +391,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
     scheme = scheme or Scheme()
     signed = staged(signatures(docs, scheme), "signatures")
     known = signed.filter(F.col("doc_id").isNotNull() & F.col("set_a").isNotNull())
-    equal = ["set_a", "set_b", "n_shingles"]
-    firsts = staged(known.groupBy(*equal).agg(F.min("doc_id").alias("id")), "equal-sets")
-    rows = known.withColumnRenamed("doc_id", "id").join(firsts, [*equal, "id"], "left_semi")
-    nodes = staged(rows.select("id", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["id", "n"]), "nodes")
+    # a node is a set, numbered in the order of the smallest doc_id that has it
+    firsts = known.groupBy(*EQUAL).agg(F.min("doc_id").alias("doc_id")).orderBy("doc_id", *EQUAL)
+    firsts = staged(firsts.select(F.monotonically_increasing_id().alias("id"), "doc_id", *EQUAL), "equal-sets")
+    rows = known.join(firsts, ["doc_id", *EQUAL]).select("id", F.col("n_shingles").alias("n"), "sketch", "bands")
+    nodes = staged(rows.dropDuplicates(["id"]), "nodes")
     members = _members(nodes)
 
     # every node with its best pivot, then with its others, then what pivots have not joined
@@ -330,19 +403,32 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
     paired = staged(met.select("id", "pivot", "company").distinct(), "pairs")
     first = paired.groupBy("id").agg(F.max(F.struct("company", "pivot")).alias("best"))
     likely = staged(_signed_alike(_pairs("id", "best.pivot", first), nodes, scheme), "pairs")
-    labels = components(_confirmed(docs, likely, scheme))
+    links = _confirmed(docs, firsts, likely, scheme)
+    labels = components(links.union(_of_one_id(signed, firsts)))
     others = _parted(_pairs("id", "pivot", paired), labels)
-    labels = _joined(docs, labels, _signed_alike(others, nodes, scheme), scheme)
-    found = staged(_residual(members, labels, nodes, scheme), "pairs")
-    labels = _joined(docs, labels, _likeliest(found, labels), scheme)
-    labels = _joined(docs, labels, _parted(found, labels), scheme)
-    named = staged(_labelled(firsts, labels, "id", "component"), "equal-components")
-    out = signed.join(named.select(*equal, "component"), equal, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    labels = _joined(docs, firsts, labels, _signed_alike(others, nodes, scheme), scheme)
+    found = staged(_residual(docs, firsts, members, labels, scheme), "pairs")
+    labels = _joined(docs, firsts, labels, _likeliest(found, labels), scheme)
+    labels = _joined(docs, firsts, labels, _parted(found, labels), scheme)
+    named = _labelled(firsts, labels, "id", "component").select(*EQUAL, "component")
+    smallest = firsts.select(F.col("id").alias("component"), F.col("doc_id").alias("component_id"))
+    named = staged(named.join(smallest, "component").drop("component"), "equal-components")
+    out = signed.join(named, EQUAL, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def _of_one_id(signed: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of rows that share a doc_id: these are one node."""
+    several = signed.filter(F.col("doc_id").isNotNull() & F.col("set_a").isNotNull()).groupBy("doc_id")
+    several = staged(several.agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).filter("low <> high"), "repeated-ids")
+    ids = signed.select("doc_id", *EQUAL).join(several.select("doc_id"), "doc_id", "left_semi")
+    held = ids.join(firsts.select("id", *EQUAL), EQUAL).select("doc_id", "id").distinct()
+    least = held.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return held.join(least, "doc_id").select(F.col("id").alias("a"), "b").filter("a <> b")
+
+
 def _parted(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose nodes are in different components so far."""
     known = _labelled(_labelled(pairs, labels, "a", "one"), labels, "b", "two")

@@ -99,3 +99,32 @@ def test_short_texts_at_the_threshold_equal_all_pairs(spark):
         rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(text[:8]))]
     found = minhash.near_duplicates(spark.createDataFrame([(*r, "") for r in rows], SCHEMA), minhash.Scheme(3, 85))
     assert {r["component_id"] for r in found.collect()} == set(range(0, 800, 2))
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_a_group_of_near_copies_equals_all_pairs(spark, size, percent):
+    """Members on both sides of the threshold, whose edits are their own or shared with few others."""
+    draw = random.Random(percent)
+    text = [f"w{k}" for k in range(60)]
+    pool = [(draw.randrange(60), f"e{k}") for k in range(12)]
+    rows = []
+    for k in range(260):
+        copy = list(text)
+        for _ in range(draw.randint(1, 5)):
+            at, word = draw.choice(pool) if draw.random() < 0.6 else (draw.randrange(60), f"own{k}")
+            copy[at] = word
+        rows.append((len(rows), " ".join(copy)))
+    found = minhash.near_duplicates(spark.createDataFrame([(*r, "") for r in rows], SCHEMA), minhash.Scheme(size, percent))
+    expected = plain(rows, size, percent)
+    assert 3 < len({c for _, _, c, _ in expected}) < 200
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_texts_of_one_id_keep_all_their_links(spark):
+    """Two texts of one id and one size: what is near to either is near to the id."""
+    draw = random.Random(2)
+    one, two = ([f"{draw.randrange(10**6)}" for _ in range(30)] for _ in range(2))
+    near = lambda words: " ".join(words[:-1] + ["x"])
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, near(one)), (3, near(two)), (4, "else where here")]
+    found = minhash.near_duplicates(spark.createDataFrame([(*r, "") for r in rows], SCHEMA), minhash.Scheme(3, 85)).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found} == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
