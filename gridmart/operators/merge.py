@@ -1,19 +1,16 @@
 """Idempotent inserts, upserts by key and incremental deltas over Parquet tables."""
 
-import json
-import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from gridmart import schemas, session
 from gridmart.operators.loads import append_load, stored_loads
 from gridmart.operators.snapshots import first_per_key, having, lacking, last_per_key
+from gridmart.sources import versions
 from gridmart.sources.raw import column_names
-from gridmart.sources.sinks import finish_swap, read_table
 
 EPOCH = "1900-01-01"
 BROADCAST_KEYS = 200_000
@@ -135,113 +132,60 @@ class MergeTarget:
     partition_by: str | None = None
 
 
-def _beside(path: str, folder: str) -> str:
-    """A folder next to the table for what belongs to it but is not part of its rows."""
-    head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/{folder}/{name}"
-
-
-def _staging_root(path: str) -> str:
-    return _beside(path, "_merging")
-
-
 def existing_table(spark: SparkSession, target: MergeTarget) -> DataFrame | None:
-    """The stored table, as it is: reading never touches what a merge has staged.
-
-    A full refresh that was lost while it swapped folders is finished first. The recorded schema spares opening files to find columns that later merges appended.
-    """
-    finish_swap(spark, target.path)
-    if not session.table_exists(spark, target.path):
-        return None
-    recorded = _beside(target.path, "_schemas")
-    if not session.table_exists(spark, recorded):
-        return read_table(spark, target.path)
-    schema = StructType.fromJson(json.loads(spark.read.parquet(recorded).first()[0]))
-    return spark.read.schema(schema).parquet(target.path)
+    """The stored table in its current version; reading writes nothing."""
+    return versions.read(spark, target.path)
 
 
 def watermark(spark: SparkSession, target: MergeTarget) -> DataFrame | None:
     """The newest load time the table has taken in, for ``since_watermark``.
 
-    Recorded after every merge, so that finding it does not scan the table. A merge that
-    died before recording leaves the previous one: its rows are merged once more.
+    A merge records it with its version, so that finding it does not scan the table.
     """
-    recorded = _beside(target.path, "_watermarks")
-    if session.table_exists(spark, recorded):
-        return spark.read.parquet(recorded)
-    return existing_table(spark, target)
-
-
-def forget_state(spark: SparkSession, target: MergeTarget) -> None:
-    """Drop what was recorded about a table that is about to be rebuilt from scratch."""
-    for folder in ("_watermarks", "_schemas", "_merging"):
-        session.remove_folder(spark, _beside(target.path, folder))
-
-
-def finish_pending(spark: SparkSession, target: MergeTarget) -> None:
-    """Apply merges that were staged completely and drop those that were not. For writers alone."""
-    for folder in session.child_folders(spark, _staging_root(target.path)):
-        if session.table_exists(spark, f"{folder}/merged"):
-            _apply(spark, target, f"{folder}/merged")
-        session.remove_folder(spark, folder)
-
-
-def _apply(spark: SparkSession, target: MergeTarget, staged: str) -> None:
-    rows = spark.read.parquet(staged)
-    _record_schema(spark, target, rows)
-    writer = rows.write.mode("overwrite")
-    if target.partition_by:
-        # the first write is a plain one: only that leaves the marker of a finished table
-        known = session.table_exists(spark, target.path)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if known else "static")
-        writer = writer.partitionBy(target.partition_by)
-    writer.parquet(target.path)
-
-
-def _record_schema(spark: SparkSession, target: MergeTarget, rows: DataFrame) -> None:
-    row = spark.createDataFrame([(rows.schema.json(),)], "table_schema string")
-    row.coalesce(1).write.mode("overwrite").parquet(_beside(target.path, "_schemas"))
-
-
-def _record_watermark(spark: SparkSession, target: MergeTarget, staged: DataFrame) -> None:
-    column, path = target.order[0], _beside(target.path, "_watermarks")
-    newest = F.max(column)
-    if session.table_exists(spark, path):
-        held = spark.read.parquet(path).first()[0]
-        newest = F.greatest(newest, F.lit(held).cast(staged.schema[column].dataType))
-    staged.agg(newest.alias(column)).coalesce(1).write.mode("overwrite").parquet(path)
+    version = versions.current(spark, target.path)
+    if version is None:
+        return None
+    recorded = versions.recorded(spark, version, target.order[0])
+    return versions.rows(spark, target.path, version) if recorded is None else recorded
 
 
 def merge_table(spark: SparkSession, target: MergeTarget, delta: DataFrame) -> int:
     """Upsert ``delta`` into the stored table; returns the number of delta keys.
 
-    1. The deduplicated delta is written to a staging folder: it is computed once, and its
-       size is known from then on.
-    2. The merged rows of the partitions it touches are staged beside it.
-    3. The staged rows replace exactly those partitions.
-
-    A run that dies before 3 leaves the table as it was; one that dies inside 3 is finished
-    from the staged rows by the next merge. One writer per table is assumed.
+    The deduplicated delta is staged: it is computed once, and its size is known from then on. The
+    merged rows of the partitions it touches are written beside the table's others, and one more
+    version lists them in place of the old ones, with the schema and the watermark. A run that dies
+    leaves the table as it was; of two that started from one version the second fails.
     """
-    finish_pending(spark, target)
-    existing = existing_table(spark, target)
-    folder = f"{_staging_root(target.path)}/{uuid.uuid4().hex}"
+    base = versions.current(spark, target.path)
+    existing = None if base is None else versions.rows(spark, target.path, base)
+    folder = session.scratch_path(spark, "delta")
     newest = last_per_key(delta, target.keys, target.order)
-    newest.write.parquet(f"{folder}/delta")
-    staged = spark.read.parquet(f"{folder}/delta")
+    newest.write.parquet(folder)
+    staged = spark.read.schema(newest.schema).parquet(folder)
     size = staged.count()
     if size:
         if existing is not None and target.partition_by:
             existing = _touched_partitions(existing, staged, target.partition_by)
         merged = upsert(existing, staged, target.keys, small_delta=size <= BROADCAST_KEYS)
         merged = _clustered(merged, target)
-        merged.write.parquet(f"{folder}/merged")
-        _apply(spark, target, f"{folder}/merged")
-        _record_watermark(spark, target, staged)
+        folders = versions.write_batch(merged, target.path, [target.partition_by] if target.partition_by else [])
+        if base is not None and target.partition_by:
+            touched = {versions.partition_of(f) for f in folders}
+            folders = (*(f for f in base.folders if versions.partition_of(f) not in touched), *folders)
+        seen = versions.newest_value(_with_recorded(spark, base, staged, target.order[0]), target.order[0])
+        versions.commit(spark, target.path, base, folders, merged.schema, seen)
     session.remove_folder(spark, folder)
     return size
 
 
+def _with_recorded(spark: SparkSession, base: versions.Version | None, staged: DataFrame, column: str) -> DataFrame:
+    """Load times of a delta, and the newest one recorded before."""
+    before = versions.recorded(spark, base, column) if base else None
+    times = staged.select(column)
+    return times if before is None else times.union(before.select(F.col(column).cast(staged.schema[column].dataType)))
+
+
 def _clustered(df: DataFrame, target: MergeTarget) -> DataFrame:
     """Bring a partition's rows together so that a write makes few files per partition.
 
@@ -280,6 +224,7 @@ def insert_into_table(
     replaces what it had stored.
     """
     path, keys = f"{root}/{table}", schemas.LOAD_KEYS[table]
+    schemas.check_contract(delta, table, without=("id",))
     if session.path_exists(spark, path):
         stored = stored_loads(spark, table, root, without=load_key)
         fresh = insert_new(delta, stored, keys, order, range_column=partition_by)

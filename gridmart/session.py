@@ -4,6 +4,7 @@ import functools
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -66,16 +67,55 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(handle) if s.isDirectory())
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
+def child_folder_times(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Folders in a folder and when each last changed, in milliseconds."""
     fs, handle = _handle(spark, path)
-    fs.delete(handle, True)
+    if not fs.exists(handle):
+        return []
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in fs.listStatus(handle) if s.isDirectory())
+
+
+def child_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names of the files in a folder and when each last changed, in milliseconds."""
+    fs, handle = _handle(spark, path)
+    if not fs.exists(handle):
+        return []
+    return sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(handle) if s.isFile())
 
 
-def move_folder(spark: SparkSession, path: str, to: str) -> None:
-    """Moves a folder; another run that has moved it already is no error."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file; empty if it is gone."""
     fs, handle = _handle(spark, path)
-    if not fs.rename(handle, _handle(spark, to)[1]) and fs.exists(handle):
-        raise OSError(f"{path} could not be moved to {to}")
+    if not fs.exists(handle):
+        return ""
+    stream = fs.open(handle)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file; False if there is one already."""
+    fs, handle = _handle(spark, path)
+    if fs.exists(handle):
+        return False
+    try:
+        stream = fs.create(handle, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, handle = _handle(spark, path)
+    fs.delete(handle, True)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

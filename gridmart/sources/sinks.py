@@ -5,34 +5,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart import session
+from gridmart.sources import versions
 
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh: written beside the table, then swapped in, so ``df`` may read ``path``.
+    """Full refresh: ``df``, which may read the table, becomes its next version.
 
-    A run that dies while it writes leaves the table as it was; one that dies inside the swap
-    is finished by the next reader or writer.
+    Readers keep the version they have; a run that dies leaves the one before.
     """
-    spark = df.sparkSession
-    finish_swap(spark, path)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(_successor(path))
-    finish_swap(spark, path)
-
-
-def _successor(path: str) -> str:
-    head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/_refreshing/{name}"
-
-
-def finish_swap(spark: SparkSession, path: str) -> None:
-    """Puts a completely written successor in the place of the table."""
-    if session.table_exists(spark, _successor(path)):
-        session.remove_folder(spark, path)
-        session.move_folder(spark, _successor(path), path)
+    versions.replace(df, path, partition_by)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -68,5 +49,8 @@ def write_reports(reports: dict[str, DataFrame], root: str) -> list[str]:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A derived table; files written before a column was added read it as NULL."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """A derived table in its current version."""
+    stored = versions.read(spark, path)
+    if stored is None:
+        raise FileNotFoundError(f"{path} was not built yet")
+    return stored
