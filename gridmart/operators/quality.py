@@ -173,10 +173,14 @@ class QualityError(Exception):
 
 
 def enforce(report: DataFrame) -> DataFrame:
-    """Raise if an error-level check failed; warnings only stay in the report."""
-    broken = report.filter((F.col("severity") == "error") & (F.col("failures") > 0)).collect()
+    """Raise if an error-level check failed; warnings only stay in the report.
+
+    The report, a row for each declared check, is computed once; what is returned holds its rows.
+    """
+    rows = report.collect()
+    broken = [r for r in rows if r.severity == "error" and r.failures > 0]
     if broken:
         raise QualityError(
             "; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures}" for r in broken)
         )
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)

@@ -4,7 +4,7 @@ Trends, distributions, rankings and snapshots are taken from all filtered rows
 (``price_rows``, ``carbon_rows``, ``market_rows``); a number of rows limits listings alone.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.functions import mean, rounded
@@ -207,10 +207,13 @@ def _dirtiest_first(shown: DataFrame, emissions: str, rows: int) -> DataFrame:
 
 def top_states(carbon: DataFrame, count: int = 20) -> DataFrame:
     """States with the highest renewable share in the newest period, and their mean share."""
-    known = newest_rows(carbon, "period").filter(F.col("renewable_pct").isNotNull())
-    best = known.orderBy(F.desc("renewable_pct"), "state_code", "state_description").limit(count)
-    level = best.select(rounded(F.avg(F.col("renewable_pct").cast("double")), 1)).scalar()
-    return best.select("period", "state_code", "renewable_pct", level.alias("mean_renewable_pct"))
+    shares = [F.desc_nulls_last("period"), F.desc_nulls_last("renewable_pct"), "state_code", "state_description"]
+    # the newest period's rows come first, those without a share last of them: one pass finds both
+    best, listed = carbon.orderBy(*shares).limit(count), Window.partitionBy(F.lit(0))
+    newest = best.withColumn("_newest", F.max("period").over(listed))
+    known = newest.filter((F.col("period") == F.col("_newest")) & F.col("renewable_pct").isNotNull())
+    level = rounded(F.avg(F.col("renewable_pct").cast("double")).over(listed), 1)
+    return known.select("period", "state_code", "renewable_pct", level.alias("mean_renewable_pct"))
 
 
 def national_trend(carbon: DataFrame) -> DataFrame:

@@ -68,28 +68,35 @@ READING_BOUNDS = {
 # ---- scans -------------------------------------------------------------------------------
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+#: In which order records arrived.
+ARRIVAL = ["landed_at", "name_length", "file_name", "seq", "pos"]
+
+
+def read_pages(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Page envelopes to one row per record, with its place in the landing.
 
     One document per line keeps the files splittable; ``multi_line`` is for pretty-printed
-    pages. ``seq`` rises with the line inside a file, so (file_name, seq, pos) is the order
-    in which records arrived.
+    pages. Files follow each other by the time of their last change; of one time by their whole
+    path, shorter ones first, so that page 2 comes before page 10. ``seq`` rises with the line
+    inside a file.
     """
     pages = spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).json(path)
     numbered = pages.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.length("_metadata.file_path").alias("name_length"),
+        F.col("_metadata.file_path").alias("file_name"),
         F.monotonically_increasing_id().alias("seq"),
         "response",
     )
-    return numbered.select("file_name", "seq", F.posexplode("response.data").alias("pos", "record"))
+    return numbered.select(*ARRIVAL[:-1], F.posexplode("response.data").alias("pos", "record"))
 
 
-def read_readings(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+def read_readings(spark: SparkSession, table: str, path: str | list[str], multi_line: bool = False) -> DataFrame:
     return spark.read.schema(READING_SCHEMAS[table]).option("multiLine", multi_line).json(path)
 
 
 def read_forecasts(
-    spark: SparkSession, path: str, schema: str = DEMAND_FORECAST_SCHEMA, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: str = DEMAND_FORECAST_SCHEMA, multi_line: bool = False
 ) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 

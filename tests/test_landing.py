@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -26,10 +27,18 @@ def prices(spark, tmp_path, *records):
 def test_pages_unfold_in_order(spark, tmp_path):
     land(tmp_path / "p", "page-1", envelope(GENERATION, GENERATION | {"period": "2024-02"}), envelope())
     path = land(tmp_path / "p", "page-2", envelope(GENERATION | {"period": "2024-03"}), {"response": {}}, {})
-    rows = landing.read_pages(spark, path).orderBy("file_name", "seq", "pos").collect()
+    rows = landing.read_pages(spark, path).orderBy(*landing.ARRIVAL).collect()
     assert [r.record["period"] for r in rows] == ["2024-01", "2024-02", "2024-03"]
 
 
+def test_files_arrive_by_their_time_then_by_number(spark, tmp_path):
+    for name, period, at in [("page-10", "2024-10", 5), ("page-2", "2024-02", 5), ("page-1", "2024-01", 9), ("z", "2024-12", 1)]:
+        land(tmp_path / "p", name, envelope(GENERATION | {"period": period}))
+        os.utime(tmp_path / "p" / f"{name}.json", (at, at))
+    rows = landing.read_pages(spark, str(tmp_path / "p")).orderBy(*landing.ARRIVAL).collect()
+    assert [r.record["period"] for r in rows] == ["2024-12", "2024-02", "2024-10", "2024-01"]
+
+
 def test_pretty_printed_page(spark, tmp_path):
     (tmp_path / "page.json").write_text(json.dumps(envelope(GENERATION), indent=2))
     assert landing.read_pages(spark, str(tmp_path), multi_line=True).count() == 1
