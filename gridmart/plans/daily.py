@@ -1,6 +1,7 @@
 """The daily run: landed files to raw tables, silver merges, gold marts and checks."""
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,12 +12,13 @@ from gridmart.functions import trailing_period
 from gridmart.operators import merge, quality
 from gridmart.operators.audit import AuditLog, current_state
 from gridmart.operators.loads import append_load
-from gridmart.plans import gold, reports, silver
-from gridmart.sources import landing
+from gridmart.plans import gold, partials, reports, silver
+from gridmart.sources import landing, ledger, versions
 from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, read_raw
-from gridmart.sources.sinks import append_table, finish_swap, refresh_table, write_reports
+from gridmart.sources.sinks import append_table, refresh_table, write_reports
 
-INCREMENTAL_MODES = ("replace_delta", "recompute_touched")
+PARTS = ("load", "silver", "gold", "check")
+INCREMENTAL_MODES = ("replace_delta", "recompute_touched", "merge_partials")
 
 
 class Lake:
@@ -50,6 +52,18 @@ class Lake:
         normalised = landing.normalise_demand_forecast(forecasts)
         return self._load_appended(schemas.FORECAST, normalised, run_id, **options)
 
+    def load_landed(self, table: str, path: str, run_id: str = "manual", **options) -> int:
+        """Load the files of a landing of readings or forecasts that no load has taken yet."""
+        listed = ledger.new_files(self.spark, path, f"{self.raw}/{table}")
+        files = self.spark.createDataFrame(listed.collect(), listed.schema)
+        paths = ledger.paths(files)
+        if not paths:
+            return 0
+        if table == schemas.FORECAST:
+            return self.load_forecasts(landing.read_forecasts(self.spark, paths), run_id, files=files, **options)
+        readings = landing.read_readings(self.spark, table, paths)
+        return self.load_readings(table, readings, run_id, files=files, **options)
+
     def _load_keyed(
         self,
         table: str,
@@ -64,20 +78,27 @@ class Lake:
         def load(good: DataFrame, key: str) -> int:
             wanted = facets(good, since, until, list(states) if states else None)
             rows = landing.stamped(wanted, ingested_at)
-            order = ["file_name", "seq", "pos"]
+            order = [name for name in landing.ARRIVAL if name in rows.columns]
             return merge.insert_into_table(self.spark, table, self.raw, rows, order, key)
 
         return self._load(table, normalised, run_id, "eia_api", load, strict)
 
     def _load_appended(
-        self, table: str, normalised: DataFrame, run_id: str, ingested_at=None, strict: bool = False
+        self,
+        table: str,
+        normalised: DataFrame,
+        run_id: str,
+        ingested_at=None,
+        strict: bool = False,
+        files: DataFrame | None = None,
     ) -> int:
         def load(good: DataFrame, key: str) -> int:
             names = [name for name in column_names(table) if name != "id"]
             rows = landing.stamped(good, ingested_at).select(*names)
+            schemas.check_contract(rows, table, without=("id",))
             return append_load(self.spark, f"{self.raw}/{table}", rows, key)
 
-        return self._load(table, normalised, run_id, "enrichment_api", load, strict)
+        return self._load(table, normalised, run_id, "enrichment_api", load, strict, files)
 
     def _load(
         self,
@@ -87,9 +108,18 @@ class Lake:
         source: str,
         load: Callable[[DataFrame, str], int],
         strict: bool,
+        files: DataFrame | None = None,
     ) -> int:
-        """Stage the parsed rows, set the rejected ones aside, load the others."""
+        """Stage the parsed rows, set the rejected ones aside, load the others.
+
+        ``files`` are the landed files they come from, taken with the load.
+        """
+        path = f"{self.raw}/{table}"
         if normalised.isEmpty():
+            if files is not None:
+                key = f"none-{uuid.uuid4().hex}"
+                ledger.record(files, path, key)
+                ledger.record_empty(self.spark, path, key)
             return 0
 
         def run(number: int) -> int:
@@ -102,7 +132,13 @@ class Lake:
                 bad = landing.rejected(parsed)
                 if not bad.isEmpty():
                     append_table(bad, f"{self.rejected}/{table}")
-                return load(landing.accepted(parsed), f"batch-{number}")
+                key = f"batch-{number}"
+                if files is not None:
+                    ledger.record(files, path, key)
+                added = load(landing.accepted(parsed), key)
+                if files is not None and not added:
+                    ledger.record_empty(self.spark, path, key)
+                return added
             finally:
                 session.remove_folder(self.spark, folder)
 
@@ -142,7 +178,8 @@ class Lake:
 
         ``recompute_touched`` aggregates every touched day again from all of its readings and
         equals a full refresh. ``replace_delta`` aggregates the new readings alone, as published:
-        a day that gets late readings is replaced by their aggregate.
+        a day that gets late readings is replaced by their aggregate. ``merge_partials`` adds them
+        to the stored sums of their days: equal to a full refresh without reading any reading twice.
         """
         if incremental_mode not in INCREMENTAL_MODES:
             raise ValueError(f"unknown incremental_mode: {incremental_mode}")
@@ -154,8 +191,9 @@ class Lake:
             built = merge.last_per_key(model.build(source), model.keys, model.order)
             partitions = [model.partition_by] if model.partition_by else []
             refresh_table(built, target.path, partitions)
-            merge.forget_state(self.spark, target)
             return self.staged(name).count()
+        if incremental_mode == "merge_partials" and model.time_column:
+            return self._merge_partials(name, source)
         mark = merge.watermark(self.spark, target)
         delta = merge.since_watermark(source, mark, lookback_days=lookback_days)
         if mark is not None and model.time_column and incremental_mode == "recompute_touched":
@@ -164,35 +202,47 @@ class Lake:
             built = model.build(delta)
         return merge.merge_table(self.spark, target, built)
 
+    def _merge_partials(self, name: str, source: DataFrame) -> int:
+        kept, path = partials.models()[name], f"{self.staging}/_partials/{name}"
+        delta = merge.since_watermark(source, partials.watermark(self.spark, path))
+        touched = partials.take_in(self.spark, kept, path, delta)
+        partials.show(self.spark, kept, path, self._target(name).path)
+        return touched
+
     # ---- gold ----------------------------------------------------------------------------
 
     def mart(self, name: str, ordered: bool = False) -> DataFrame:
-        """A stored mart; ``ordered`` sorts it the way it is published."""
-        finish_swap(self.spark, f"{self.analytics}/{name}")
-        stored = self.spark.read.parquet(f"{self.analytics}/{name}")
+        """A stored mart, without rows if it was not built yet; ``ordered`` sorts it the way it is published."""
+        stored = versions.read(self.spark, f"{self.analytics}/{name}")
+        if stored is None:
+            stored = self._planned(name).limit(0)
         return gold.in_published_order(stored, name) if ordered else stored
 
-    def refresh_gold(
+    def _planned(
         self,
+        name: str,
         carbon_join: str = "reference",
         co2_divisor: int = gold.PARITY_DIVISOR,
         dedupe_dims: bool = False,
         calendar: bool = False,
-    ) -> None:
-        """Rebuild the four marts, each from stored tables only."""
-        generation, prices = self.staged("silver_generation_cleaned"), self.staged("silver_prices_cleaned")
-        carbon, market = self.staged("silver_carbon_reference"), self.staged("silver_market_aggregated")
-        weather = self.staged("silver_weather_aggregated")
-        self._store("gold_generation_by_fuel_monthly", gold.generation_by_fuel(generation, carbon, carbon_join, co2_divisor))
-        self._store("gold_price_trends", gold.price_trends(prices, market, calendar))
-        self._store("gold_carbon_footprint", gold.carbon_footprint(self.mart("gold_generation_by_fuel_monthly")))
-        summary = gold.executive_summary(
-            self.mart("gold_carbon_footprint"), self.mart("gold_price_trends"), market, weather, dedupe_dims
-        )
-        self._store("gold_executive_summary", summary)
-
-    def _store(self, name: str, mart: DataFrame) -> None:
-        refresh_table(mart, f"{self.analytics}/{name}")
+    ) -> DataFrame:
+        """A mart from the stored tables it depends on."""
+        if name == "gold_generation_by_fuel_monthly":
+            generation, carbon = self.staged("silver_generation_cleaned"), self.staged("silver_carbon_reference")
+            return gold.generation_by_fuel(generation, carbon, carbon_join, co2_divisor)
+        if name == "gold_price_trends":
+            prices, market = self.staged("silver_prices_cleaned"), self.staged("silver_market_aggregated")
+            return gold.price_trends(prices, market, calendar)
+        if name == "gold_carbon_footprint":
+            return gold.carbon_footprint(self.mart("gold_generation_by_fuel_monthly"))
+        footprint, trends = self.mart("gold_carbon_footprint"), self.mart("gold_price_trends")
+        market, weather = self.staged("silver_market_aggregated"), self.staged("silver_weather_aggregated")
+        return gold.executive_summary(footprint, trends, market, weather, dedupe_dims)
+
+    def refresh_gold(self, **options) -> None:
+        """Rebuild the four marts, each from stored tables only; see ``_planned`` for the options."""
+        for name in quality.GOLD_CHECKS:
+            refresh_table(self._planned(name, **options), f"{self.analytics}/{name}")
 
     # ---- checks and reports --------------------------------------------------------------
 
@@ -231,30 +281,40 @@ def run_daily(
     window_days: int | None = 90,
     incremental_mode: str = "recompute_touched",
     report_root: str | None = None,
+    parts: Sequence[str] = PARTS,
     **mart_options,
-) -> DataFrame:
+) -> DataFrame | None:
     """Load every landed table, refresh silver and gold, check all layers.
 
-    ``landed`` maps raw table names to landing paths; tables that are not in it stay as they are.
+    ``landed`` maps raw table names to landing paths; tables that are not in it stay as they are. Of
+    readings and forecasts only files that no earlier run has taken are loaded; of keyed tables only
+    records whose key is new. ``parts`` names what is run, of "load", "silver", "gold" and "check".
     ``as_of`` chooses the window of periods alone: rows are stamped with the time of the load, so
     a rerun or a back-fill reaches the silver tables like any other load. Returns the quality
     report after raising on failed error-level checks.
     """
+    if unknown := set(parts) - set(PARTS):
+        raise ValueError(f"unknown parts: {sorted(unknown)}")
     lake = Lake(spark, root)
+    if "load" in parts:
+        _load_all(lake, landed, as_of, run_id, window_days)
+    if "silver" in parts:
+        for name in silver.MODELS:
+            lake.refresh_silver(name, incremental_mode=incremental_mode)
+    if "gold" in parts:
+        lake.refresh_gold(**mart_options)
+    if report_root:
+        write_reports(lake.reports(as_of.year), report_root)
+    return quality.enforce(lake.quality_report()) if "check" in parts else None
+
+
+def _load_all(lake: Lake, landed: dict[str, str], as_of: dt.datetime, run_id: str, window_days: int | None) -> None:
     since = trailing_period(as_of, window_days) if window_days is not None else None
     keyed = {schemas.GENERATION: lake.load_generation, schemas.PRICES: lake.load_prices}
     for table, load in keyed.items():
         if table in landed:
-            records = landing.read_pages(spark, landed[table])
+            records = landing.read_pages(lake.spark, landed[table])
             load(records, run_id, since=since, until=f"{as_of:%Y-%m}")
-    for table in landing.READING_SCHEMAS:
+    for table in (*landing.READING_SCHEMAS, schemas.FORECAST):
         if table in landed:
-            lake.load_readings(table, landing.read_readings(spark, table, landed[table]), run_id)
-    if schemas.FORECAST in landed:
-        lake.load_forecasts(landing.read_forecasts(spark, landed[schemas.FORECAST]), run_id)
-    for name in silver.MODELS:
-        lake.refresh_silver(name, incremental_mode=incremental_mode)
-    lake.refresh_gold(**mart_options)
-    if report_root:
-        write_reports(lake.reports(as_of.year), report_root)
-    return quality.enforce(lake.quality_report())
+            lake.load_landed(table, landed[table], run_id)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from gridmart import schemas, session
 from gridmart.operators import merge
 from gridmart.operators.loads import append_load, stored_loads
-from gridmart.plans import silver
+from gridmart.plans import partials, silver
 from gridmart.sources import landing
 
 DEFAULT_INTERVAL = "15 minutes"
@@ -111,6 +111,29 @@ def keep_merged(
     return _start(writer, checkpoint, once, every)
 
 
+def keep_partials(
+    readings: DataFrame,
+    model: partials.PartialModel,
+    path: str,
+    table: str,
+    checkpoint: str,
+    once: bool = True,
+    every: str = DEFAULT_INTERVAL,
+) -> StreamingQuery:
+    """Keep a daily table current from partial rows at ``path``, without any stream state.
+
+    Each batch is added to the sums of its days: readings of any age count, only the months of a
+    batch are written, and a replayed batch is known by its number.
+    """
+    name = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
+
+    def add_batch(batch: DataFrame, batch_id: int) -> None:
+        partials.take_in(batch.sparkSession, model, path, batch, (name, batch_id))
+        partials.show(batch.sparkSession, model, path, table)
+
+    return _start(readings.writeStream.foreachBatch(add_batch), checkpoint, once, every)
+
+
 def insert_new_stream(
     rows: DataFrame,
     table: str,

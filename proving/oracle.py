@@ -642,6 +642,24 @@ _TEXTS: dict[str, str] = {
         + f" limit {q.PAGE_SIZE} offset {q.PAGE_NUMBER * q.PAGE_SIZE}",
     ),
     "s12_full_refresh": _doubles("raw_prices", "price_cents_per_kwh revenue_million_dollars sales_million_kwh"),
+    "s12_version_reads": _doubles(
+        "raw_prices", "price_cents_per_kwh revenue_million_dollars sales_million_kwh", "where sector_id = 'RES'"
+    ),
+    "s7_landed_pages": _doubles(
+        "(select * exclude (id, ingested_at) from raw_generation) g", "generation_mwh"
+    ),
+    "s8_landed_readings": _doubles(
+        f"(select * exclude (id, ingested_at) from {_timed('raw_market')} t) m", _RAW_MARKET_NUMBERS
+    ),
+    "l9_empty_guard": f"""select 'some' as run_id, '{schemas.MARKET}' as asset_name, 'success' as status,
+        cast(count(*) as int) as records_written from raw_market""",
+    "u1_merge_partials": _doubles("silver_market", _MARKET_NUMBERS),
+    "u1_carbon_partials": _doubles("silver_carbon", _CARBON_NUMBERS),
+    "u3_appended_columns": _doubles(
+        """(select * from late_daily union all by name select * exclude (peak_demand_mw) from stored_market s
+            where not exists (select 1 from late_daily n where n.region = s.region and n.reading_date = s.reading_date)) m""",
+        _MARKET_NUMBERS,
+    ),
     "s11_trailing": _doubles(
         "raw_prices",
         "price_cents_per_kwh revenue_million_dollars sales_million_kwh",
@@ -773,6 +791,8 @@ _TEXTS: dict[str, str] = {
     ),
     "x4_stream_forecast": _FORECAST_POINTS,
 }
+_TEXTS["s18_report_sheet"] = _TEXTS["r5_market_sheet"]
+_TEXTS["x2_stream_partials"] = _TEXTS["x2_stream_daily"]
 
 
 def _first_of_stream() -> str:

@@ -24,10 +24,11 @@ from gridmart.operators.audit import current_state
 from gridmart.operators.horizon import hourly_spine
 from gridmart.operators.loads import append_load
 from gridmart.operators.snapshots import newest_rows, newest_rows_per_key
-from gridmart.plans import gold, reports, silver
-from gridmart.sources import dims, landing
+from gridmart.plans import gold, partials, reports, silver
+from gridmart.plans.daily import Lake
+from gridmart.sources import dims, landing, versions
 from gridmart.sources.raw import BRONZE_VIEWS, bronze, column_names, facets, page, page_after, read_raw
-from gridmart.sources.sinks import publish_view, read_table, refresh_table
+from gridmart.sources.sinks import publish_view, read_table, refresh_table, write_report
 from gridmart.streaming import readings as streams
 from proving import adapters
 
@@ -349,6 +350,85 @@ def s12_full_refresh(spark, folder):
     return read_table(spark, path).select(*rows.columns)
 
 
+@_query
+def s12_version_reads(spark, folder):
+    """A reader of a version that two later ones have followed."""
+    path = f"{session.scratch_path(spark, 's12')}/prices"
+    rows = adapters.raw(spark, folder, schemas.PRICES)
+    refresh_table(rows.filter(F.col("sector_id") == "RES"), path, ["period"])
+    held = read_table(spark, path)
+    refresh_table(rows, path, ["period"])
+    refresh_table(rows.filter(F.col("sector_id") == "IND"), path)
+    return held
+
+
+@_query
+def s18_report_sheet(spark, folder):
+    """A report written as a titled sheet, read back by its titles."""
+    sheet = reports.market_sheet(_silver(spark, folder, "silver_market_aggregated"))
+    path = f"{session.scratch_path(spark, 's18')}/markets"
+    write_report(sheet, path)
+    read = spark.read.option("header", True).csv(path)
+    kinds = {f.name: f.dataType for f in sheet.schema}
+    titles = {title.lower().replace(" ", "_"): title for title in read.columns}
+    return read.select(*(F.col(titles[name]).cast(kind).alias(name) for name, kind in kinds.items()))
+
+
+PAGE_RECORDS = 200
+
+
+@_query
+def s7_landed_pages(spark, folder):
+    """Generation landed as page envelopes of some records each, read, normalised and accepted."""
+    rows = adapters.raw(spark, folder, schemas.GENERATION).withColumn("page", F.floor(F.col("id") / PAGE_RECORDS))
+    record = F.struct(
+        F.col("period"),
+        F.col("state_code").alias("location"),
+        F.col("state_description").alias("stateDescription"),
+        F.col("sector_id").alias("sectorid"),
+        F.col("sector_description").alias("sectorDescription"),
+        F.col("fuel_type_code").alias("fueltypeid"),
+        F.col("fuel_type_description").alias("fuelTypeDescription"),
+        F.col("generation_mwh").cast("string").alias("generation"),
+        F.col("generation_units").alias("generation-units"),
+    )
+    data = F.collect_list(record).alias("data")
+    pages = rows.groupBy("page").agg(data).select(F.struct(F.struct("data").alias("response")).alias("e"))
+    path = f"{session.scratch_path(spark, 's7')}/pages"
+    pages.select(F.to_json("e")).write.text(path)
+    landed = landing.accepted(landing.normalise_generation(landing.read_pages(spark, path), request_id="fixture"))
+    return landed.select(*[c for c in column_names(schemas.GENERATION) if c not in ("id", "ingested_at")])
+
+
+def _land_market(readings: DataFrame, path: str) -> None:
+    names = [c for c in column_names(schemas.MARKET) if c not in ("id", "ingested_at", "source")]
+    readings.select(F.to_json(F.struct(*names))).write.mode("append").text(path)
+
+
+@_query
+def s8_landed_readings(spark, folder):
+    """Market readings that land twice, each landing loaded by two runs: files are taken once."""
+    base = session.scratch_path(spark, "s8")
+    lake, readings = Lake(spark, f"{base}/lake"), adapters.raw(spark, folder, schemas.MARKET)
+    for odd in (0, 1):
+        _land_market(readings.filter(F.col("id") % 2 == odd), f"{base}/landing")
+        for run in ("first", "again"):
+            lake.load_landed(schemas.MARKET, f"{base}/landing", f"{run}-{odd}")
+    return lake.raw_table(schemas.MARKET).drop("id", "ingested_at")
+
+
+@_query
+def l9_empty_guard(spark, folder):
+    """Loads of some readings and of none: the empty one leaves no event."""
+    base = session.scratch_path(spark, "l9")
+    lake, readings = Lake(spark, f"{base}/lake"), adapters.raw(spark, folder, schemas.MARKET)
+    names = [c for c in column_names(schemas.MARKET) if c not in ("id", "ingested_at", "source")]
+    texts = readings.select(*(F.col(c).cast("string").alias(c) for c in names))
+    lake.load_readings(schemas.MARKET, texts, "some")
+    lake.load_readings(schemas.MARKET, texts.filter(F.col("region") == "nowhere"), "none")
+    return current_state(lake.audit.read()).select("run_id", "asset_name", "status", "records_written")
+
+
 @_query
 def s11_trailing(spark, folder):
     return facets(adapters.raw(spark, folder, schemas.PRICES), trailing_period(dt.date(2000, 6, 30), 90))
@@ -559,6 +639,39 @@ def u1_recompute_touched(spark, folder):
     return merge.upsert(stored, again, keys)
 
 
+@_query
+def u1_merge_partials(spark, folder):
+    """Daily markets from partial rows: what is read later is added, nothing is read twice."""
+    base, kept = session.scratch_path(spark, "partials"), partials.models()["silver_market_aggregated"]
+    readings = _bronze(spark, folder, "bronze_market_prices")
+    late = F.col("ingested_at") >= F.lit(SPLIT_TIME).cast("timestamp_ntz")
+    for part in (~late, late):
+        partials.take_in(spark, kept, f"{base}/partials", readings.filter(part))
+        partials.show(spark, kept, f"{base}/partials", f"{base}/table")
+    return read_table(spark, f"{base}/table")
+
+
+@_query
+def u1_carbon_partials(spark, folder):
+    """The same of carbon readings, whose latest category goes with the day."""
+    base, kept = session.scratch_path(spark, "partials"), partials.models()["silver_carbon_reference"]
+    readings = _bronze(spark, folder, "bronze_carbon_intensity")
+    for third in range(3):
+        partials.take_in(spark, kept, f"{base}/partials", readings.filter(F.col("id") % 3 == third))
+    partials.show(spark, kept, f"{base}/partials", f"{base}/table")
+    return read_table(spark, f"{base}/table")
+
+
+@_query
+def u3_appended_columns(spark, folder):
+    """A merge whose rows have a column that the stored ones lack."""
+    readings, stored = _stored_market(spark, folder)
+    target = merge.MergeTarget(f"{session.scratch_path(spark, 'u3')}/table", ("region", "reading_date"))
+    merge.merge_table(spark, target, stored.drop("peak_demand_mw"))
+    merge.merge_table(spark, target, silver.daily_market(merge.since_watermark(readings, stored)))
+    return merge.existing_table(spark, target)
+
+
 # ---- data quality ------------------------------------------------------------------------
 
 
@@ -724,7 +837,16 @@ def x2_stream_daily(spark, folder):
     target = merge.MergeTarget(f"{base}/table", ("region", "reading_date"))
     daily = streams.daily_market_stream(_market_stream(spark, folder))
     streams.keep_merged(daily, target, f"{base}/checkpoint")
-    return spark.read.parquet(target.path)
+    return merge.existing_table(spark, target)
+
+
+@_query
+def x2_stream_partials(spark, folder):
+    """Daily markets kept by partial rows: no stream state, readings of any age."""
+    base, kept = session.scratch_path(spark, "x2"), partials.models()["silver_market_aggregated"]
+    rows = _market_stream(spark, folder)
+    streams.keep_partials(rows, kept, f"{base}/partials", f"{base}/table", f"{base}/checkpoint")
+    return read_table(spark, f"{base}/table")
 
 
 @_query

@@ -204,7 +204,8 @@ TWO_LOADS = (
 
 
 @pytest.mark.parametrize(
-    ("mode", "touched_day"), [("replace_delta", (60.0, 1)), ("recompute_touched", (30.0, 3))]
+    ("mode", "touched_day"),
+    [("replace_delta", (60.0, 1)), ("recompute_touched", (30.0, 3)), ("merge_partials", (30.0, 3))],
 )
 def test_late_readings_of_a_stored_day(lake, mode, touched_day):
     for rows in TWO_LOADS:
@@ -222,6 +223,13 @@ def test_recomputed_days_equal_a_full_refresh(lake):
     assert daily(lake) == incremental
 
 
+def test_modes_may_follow_each_other(lake):
+    for rows, mode in zip((*TWO_LOADS, [(6, DAY_2 + dt.timedelta(days=1), "PJM", NOON, 90.0)]), ("merge_partials", "recompute_touched", "merge_partials")):
+        load_market(lake, *rows)
+        lake.refresh_silver("silver_market_aggregated", incremental_mode=mode)
+    assert daily(lake) == {("PJM", 1): (45.0, 4), ("SPP", 1): (5.0, 1), ("PJM", 2): (8.0, 1)}
+
+
 def test_unknown_mode(lake):
     with pytest.raises(ValueError):
         lake.refresh_silver("silver_market_aggregated", incremental_mode="guess")
@@ -339,7 +347,8 @@ def landed(tmp_path):
 
 def test_daily_run_twice(spark, tmp_path):
     root = str(tmp_path / "lake")
-    report = run_daily(spark, landed(tmp_path), root, DAY_1, "run-1", report_root=str(tmp_path / "reports"))
+    places = landed(tmp_path)
+    report = run_daily(spark, places, root, DAY_1, "run-1", report_root=str(tmp_path / "reports"))
     assert report.count() == 91
     assert report.agg(F.sum("failures")).first()[0] == 0
     lake = Lake(spark, root)
@@ -351,12 +360,26 @@ def test_daily_run_twice(spark, tmp_path):
     sheet = next((tmp_path / "reports" / "kpi_scorecard").glob("*.csv")).read_text().splitlines()
     assert sheet[0].startswith("Total Gen Twh,Avg Renewable Pct")
     assert len(sheet) == 2
-    run_daily(spark, {k: v for k, v in landed(tmp_path).items() if k in schemas.LOAD_KEYS}, root, DAY_2, "run-2")
+    counts = {table: lake.raw_table(table).count() for table in places}
+    run_daily(spark, places, root, DAY_2, "run-2", incremental_mode="merge_partials")
+    assert {table: lake.raw_table(table).count() for table in places} == counts
     assert lake.mart("gold_executive_summary").collect() == summary
     assert register_bronze(spark, lake.raw)[0] == "bronze_eia_generation"
     assert spark.table("bronze_eia_prices").count() == 1
 
 
+def test_parts_of_a_run_and_reports_before_any_mart(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    assert run_daily(spark, landed(tmp_path), root, DAY_1, "run-1", parts=["load"], report_root=str(tmp_path / "reports")) is None
+    lake = Lake(spark, root)
+    whole = {"audit_summary", "kpi_scorecard", "executive_summary_sheet"}  # these have a row of no rows, or events
+    assert {name for name, df in lake.reports(2024).items() if df.count()} == whole
+    run_daily(spark, {}, root, DAY_1, "run-1", parts=["silver", "gold"])
+    assert lake.mart("gold_executive_summary").count() == 2
+    with pytest.raises(ValueError):
+        run_daily(spark, {}, root, DAY_1, "run-1", parts=["everything"])
+
+
 # ---- quality -----------------------------------------------------------------------------
 
 

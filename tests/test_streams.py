@@ -20,7 +20,7 @@ def landing_stream(spark, table, path):
 
 
 def stored(spark, place):
-    rows = spark.read.parquet(place.path).collect()
+    rows = merge.existing_table(spark, place).collect()
     return {(r.region, r.reading_date.day): (r.avg_spot_price_usd_mwh, r.reading_count) for r in rows}
 
 
@@ -64,7 +64,7 @@ def test_daily_stream_equals_the_batch_model(spark, tmp_path):
         landing.normalise_readings(landing.read_readings(spark, schemas.MARKET, source), schemas.MARKET)
     )
     expected = silver.daily_market(landing.stamped(batch)).drop("ingested_at")
-    held = spark.read.parquet(place.path).select(*expected.columns)
+    held = merge.existing_table(spark, place).select(*expected.columns)
     assert held.collect() == expected.collect()
 
 
