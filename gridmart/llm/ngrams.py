@@ -37,7 +37,7 @@ _BASE = 0xD6E8FEB86659FD93
 PIECE_BYTES = 2 << 20
 SHARD_BYTES = 16 << 20
 #: Tokens a task counts, or looks up, at once.
-RUN_TOKENS = 1_500_000
+RUN_TOKENS = 1_000_000
 #: Texts of the sample that names frequent words, and the part of a shard's share that makes a word one.
 SAMPLED_TEXTS = 2_000
 HOT_SHARE = 0.1
