@@ -17,6 +17,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 from math import log
 
 import numpy as np
@@ -41,8 +42,10 @@ SHARES = (0.002, 0.01)
 NEIGHBOURS = 15
 #: Without a class-telling term cosines vote by this power: what is close decides.
 PLAIN_POWER = 4
-#: Candidates left when the search over all words turns to whole examples.
-CANDIDATES = 100
+#: Words of this share of the examples are read as whole rows, not as postings.
+FREQUENT = 0.25
+#: Words that search reads first, twice as many each time.
+FIRST_WORDS = 32
 BLOCK = 64
 SLICE_BYTES = 8 << 20
 REMEMBERED = 300_000
@@ -71,6 +74,20 @@ def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(begin - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0), sizes
 
 
+def _nearest(found: np.ndarray) -> np.ndarray:
+    """Rows of the largest positive values, ties to the smaller row."""
+    near = found.round(12)
+    rows = np.flatnonzero(found > 0)
+    if len(rows) > NEIGHBOURS:
+        rows = rows[near[rows] >= np.partition(near[rows], -NEIGHBOURS)[-NEIGHBOURS]]
+    return rows[np.lexsort((rows, -near[rows]))][:NEIGHBOURS]
+
+
+def _rest(values: np.ndarray) -> np.ndarray:
+    """Sums from each place to the end."""
+    return np.cumsum(values[::-1])[::-1]
+
+
 def gathered(begin, end, weights, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of several posting lists, one list behind the other, and what each posting adds."""
     place, sizes = spans(begin, end)
@@ -93,14 +110,28 @@ class Plain:
     vector_starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     vector_words: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     vector_weights: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: Words of at least a share ``FREQUENT`` of the examples: their row in ``head``, a column an
+    #: example; -1 for the others.
+    head_of: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    head: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     #: A text's weights by word while it is compared, else zeros.
     query: np.ndarray | None = None
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Words of the examples in a text, and weights of unit length over them."""
-        known = sorted((at, n) for w, n in counts.items() if (at := self.words.get(w)) is not None)
-        at = np.array([a for a, _ in known], np.int64)
-        weights = self.idf[at] * (1 + np.log(np.array([n for _, n in known], float)))
+        places = list(map(self.words.get, counts, repeat(-1)))
+        return self.weighed(np.array(places, np.int64), np.fromiter(counts.values(), float, len(counts)))
+
+    @property
+    def mean_words(self) -> float:
+        return len(self.vector_words) / max(1, len(self.vectors))
+
+    def weighed(self, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words' places in the index, -1 for others, and how often they come."""
+        known = np.flatnonzero(places >= 0)
+        known = known[np.argsort(places[known])]
+        at = places[known]
+        weights = self.idf[at] * (1 + np.log(counts[known]))
         return at, weights / np.sqrt((weights**2).sum() or 1.0)
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -109,31 +140,42 @@ class Plain:
         Words are read by the most they can give; once few examples can still be among the
         nearest by what is unread, these alone are compared in full.
         """
+        head = self.head_of[at]
+        frequent, rare = np.flatnonzero(head >= 0), np.flatnonzero(head < 0)
         most = weights * self.largest[at]
-        order = np.argsort(-most, kind="stable")
-        unread = np.append(np.cumsum(most[order][::-1])[::-1], 0.0)
+        order = rare[np.argsort(-most[rare], kind="stable")]
+        last = np.append(most[order], most[frequent].sum()), np.append(weights[order] ** 2, (weights[frequent] ** 2).sum())
+        # what unread words can still give: the sum of their most, or their length in the text's vector
+        unread = np.minimum(_rest(last[0]), np.sqrt(_rest(last[1])))
         found = np.zeros(len(self.vectors))
-        done, step = 0, 8
+        begin, end = self.starts[at[order]], self.starts[at[order] + 1]
+        left = np.append(_rest(end - begin), 0)
+        done, step = 0, FIRST_WORDS
         while done < len(order):
-            some = order[done : done + step]
-            rows, given = gathered(self.starts[at[some]], self.starts[at[some] + 1], weights[some], self.rows, self.weights)
+            some = slice(done, done + step)
+            rows, given = gathered(begin[some], end[some], weights[order[some]], self.rows, self.weights)
             found += np.bincount(rows, given, len(found))
             done, step = min(done + step, len(order)), 2 * step
-            if 0 <= skip:
-                found[skip] = 0
-            if done < len(order) and len(found) > CANDIDATES:
+            # compare the examples that can still be nearest in full, where that is less to read
+            if left[done] > NEIGHBOURS * self.mean_words:
+                if 0 <= skip:
+                    found[skip] = 0
                 least = np.partition(found, -NEIGHBOURS)[-NEIGHBOURS]
                 if unread[done] < least:
                     able = np.flatnonzero(found + unread[done] >= least - 1e-9)
-                    if len(able) <= CANDIDATES:
+                    if 3 * len(able) * self.mean_words < left[done]:  # reading them jumps about
                         whole = self._cosines(able, at, weights)
                         found = np.zeros(len(found))
                         found[able] = whole
-                        if 0 <= skip:
-                            found[skip] = 0
+                        frequent = frequent[:0]
                         break
-        rows = np.flatnonzero(found > 0)
-        top = rows[np.lexsort((rows, -found[rows].round(12)))][:NEIGHBOURS]
+        if len(frequent):
+            text = np.zeros(len(self.head))
+            text[head[frequent]] = weights[frequent]
+            found += text @ self.head
+        if 0 <= skip:
+            found[skip] = 0
+        top = _nearest(found)
         return top, found[top]
 
     def _cosines(self, rows: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -161,10 +203,18 @@ def _plain(counted: list[Counter]) -> Plain:
     plain.vector_starts = np.concatenate([[0], np.cumsum([len(at) for at, _ in plain.vectors])])
     plain.vector_words, plain.vector_weights = word, np.concatenate([w for _, w in plain.vectors])
     order = np.argsort(word, kind="stable")
-    plain.rows = np.repeat(np.arange(len(counted), dtype=np.int32), [len(at) for at, _ in plain.vectors])[order]
+    plain.rows = np.repeat(np.arange(len(counted)), [len(at) for at, _ in plain.vectors])[order]
     plain.weights = plain.vector_weights[order]
     plain.starts = np.searchsorted(word[order], np.arange(len(having) + 1))
     plain.largest = np.maximum.reduceat(plain.weights, plain.starts[:-1])
+    sizes = np.diff(plain.starts)
+    often = np.flatnonzero(sizes >= FREQUENT * len(counted))
+    plain.head_of = np.full(len(sizes), -1, np.int64)
+    plain.head_of[often] = np.arange(len(often))
+    plain.head = np.zeros((len(often), len(counted)))
+    for k, w in enumerate(often.tolist()):
+        held = slice(plain.starts[w], plain.starts[w + 1])
+        plain.head[k, plain.rows[held]] = plain.weights[held]
     return plain
 
 
@@ -173,6 +223,8 @@ class Index:
     """Labelled examples as postings in blocks, with the largest weight of each term and block."""
 
     terms: dict[bytes, int] = field(default_factory=dict)
+    #: How the terms begin: a word that begins otherwise has none.
+    heads: set[bytes] = field(default_factory=set)
     idf: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -191,6 +243,8 @@ class Index:
 
     def read(self, word: bytes) -> int:
         """The strongest term of a word, -1 if it has none."""
+        if word[: BEGINNINGS[0]] not in self.heads:
+            return -1
         return min((self.terms[t] for t in terms(word) if t in self.terms), default=-1)
 
     def vector(self, dimensions: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,8 +270,7 @@ class Index:
             done, step = done + step, 2 * step
             if 0 <= skip:
                 found[skip] = 0
-            rows = np.flatnonzero(found > 0)
-            best_rows = rows[np.lexsort((rows, -found[rows].round(12)))][:NEIGHBOURS]
+            best_rows = _nearest(found)
             if done < len(order) and len(best_rows) == NEIGHBOURS and bound[order[done]] + 1e-12 < found[best_rows[-1]]:
                 break
         return best_rows, found[best_rows]
@@ -344,6 +397,7 @@ def _select(index: Index, counted: list[Counter], drawn: np.ndarray) -> None:
                 heapq.heappush(waiting, (-now, term))
             continue
         index.terms[term] = len(index.terms)
+        index.heads.add(term.rstrip(b"*")[: BEGINNINGS[0]])
         taken.update(of_term[term])
 
 
@@ -454,46 +508,49 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 class _Scorer:
     def __init__(self, index: Index):
         self.index = index
+        #: Of words met before: one more than the strongest term, and than the place among all words,
+        #: in the upper and the lower half of a number.
         self.of_word: dict[bytes, int] = {}
         self.known: dict[tuple | bytes, tuple[float, list[int]]] = {}
 
-    def _term(self, word: bytes) -> int:
+    def _read(self, word: bytes) -> int:
         if len(self.of_word) >= REMEMBERED:
             self.of_word.clear()
-        term = self.of_word[word] = self.index.read(word)
-        return term
+        found = (self.index.read(word) + 1 << 32) + self.index.plain.words.get(word, -1) + 1
+        self.of_word[word] = found
+        return found
 
     def score(self, text: bytes) -> tuple[float, list[int]]:
-        get = self.of_word.get
+        seen = Counter(words(text))
+        read = list(map(self.of_word.get, seen))
+        if None in read:
+            read = [self._read(word) if found is None else found for found, word in zip(read, seen, strict=True)]
+        of_word = np.array(read, np.int64)
+        times = np.fromiter(seen.values(), np.int64, len(seen))
+        term = of_word >> 32
         counts: Counter = Counter()
-        read = words(text)
-        for word in read:
-            term = get(word)
-            if term is None:
-                term = self._term(word)
-            if term >= 0:
-                counts[term] += 1
-        key = tuple(graded(counts, len(read))) or hashlib.blake2b(text, digest_size=16).digest()
-        if not counts:
-            if key not in self.known:
-                self._room()
-                self.known[key] = self._by_all_words(read)
-            return self.known[key]
+        for k in np.flatnonzero(term).tolist():
+            counts[int(term[k]) - 1] += int(times[k])
+        length = int(times.sum())
+        key = tuple(graded(counts, length)) or hashlib.blake2b(text, digest_size=16).digest()
         if key not in self.known:
             self._room()
-            at, weights = self.index.vector(list(key))
-            rows, cosines = self.index.nearest(at, weights)
-            vote = self.index.votes(rows, cosines)
-            self.known[key] = (self.index.calibrated(vote), self.index.ids[rows].tolist())
+            if counts:
+                at, weights = self.index.vector(list(key))
+                rows, cosines = self.index.nearest(at, weights)
+                found = self.index.calibrated(self.index.votes(rows, cosines)), self.index.ids[rows].tolist()
+            else:
+                found = self._by_all_words((of_word & 0xFFFFFFFF) - 1, times)
+            self.known[key] = found
         return self.known[key]
 
     def _room(self) -> None:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
 
-    def _by_all_words(self, read: list[bytes]) -> tuple[float, list[int]]:
+    def _by_all_words(self, places: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
         index = self.index
-        at, weights = index.plain.vector(Counter(read))
+        at, weights = index.plain.weighed(places, counts)
         rows, cosines = index.plain.nearest(at, weights)
         if not len(rows):
             return index.base, []
