@@ -26,6 +26,9 @@ MIN_CHARS = 10
 #: Longest block of a line; a line has two blocks at least.
 BLOCK_CHARS = 256
 
+#: Longer lines have blocks of exactly that length, and keys made of hashes of blocks.
+LONG_CHARS = 4096
+
 _LINE = ("_doc", "_row", "_no")
 
 
@@ -44,8 +47,16 @@ def _row_key() -> Column:
     return F.xxhash64("text")
 
 
-def _blocks(line: Column, with_block: bool = True) -> Column:
-    """All ways to leave one block out: (key of what is outside, whether this is the shorter length, block).
+def _count(c: Column) -> Column:
+    return F.greatest(F.lit(2), F.ceil(c / BLOCK_CHARS)).cast("int")
+
+
+def _width(c: Column) -> Column:
+    return F.when(c > LONG_CHARS, BLOCK_CHARS).otherwise(F.ceil(c / _count(c))).cast("int")
+
+
+def _blocks(line: Column, with_number: bool = True) -> Column:
+    """All ways to leave one block out: (key of what is outside, whether this is the shorter length, block number).
 
     Lines of lengths c and c + 1 meet in class c, whose blocks are counted from both ends so that
     one more character inside a block moves nothing outside of it.
@@ -53,22 +64,40 @@ def _blocks(line: Column, with_block: bool = True) -> Column:
 
     def of_line(n: Column) -> Column:
         def class_of(c: Column, short: bool) -> Column:
-            count = F.greatest(F.lit(2), F.ceil(c / BLOCK_CHARS)).cast("int")
-            fields = {"c": c, "count": count, "width": F.ceil(c / count).cast("int"), "short": F.lit(short)}
+            fields = {"c": c, "count": _count(c), "width": _width(c), "short": F.lit(short)}
             return F.struct(*(value.alias(name) for name, value in fields.items()))
 
         def blocks_of(k: Column) -> Column:
-            return F.transform(F.sequence(F.lit(0), k["count"] - 1), lambda j: block(k, j))
+            numbers = F.sequence(F.lit(0), k["count"] - 1)
+            plain = F.transform(numbers, lambda j: block(k, j, outside(k, j)))
+            return F.when(k["c"] > LONG_CHARS, of_long(k, numbers)).otherwise(plain)
 
-        def block(k: Column, j: Column) -> Column:
+        def outside(k: Column, j: Column) -> Column:
             before = F.least(j * k["width"], k["c"])
             after = F.greatest(k["c"] - (j + 1) * k["width"], F.lit(0))
-            outside = F.xxhash64(
-                k["c"], j, F.substring(line, F.lit(1), before), F.substring(line, n - after + 1, after)
+            return F.xxhash64(k["c"], j, F.substring(line, F.lit(1), before), F.substring(line, n - after + 1, after))
+
+        def of_long(k: Column, numbers: Column) -> Column:
+            # the line is read once from either end: what is before a block, and after it, are hashes of hashes
+            rest = (k["c"] % BLOCK_CHARS).cast("int")
+            ends = F.struct(
+                _chained(line, F.lit(0)).alias("before"),
+                _chained(F.substring(F.reverse(line), rest + 1, n), F.xxhash64(F.right(line, rest))).alias("after"),
             )
-            out = [outside.alias("key"), k["short"].alias("short")]
-            inside = F.substring(line, before + 1, n - before - after)
-            return F.struct(*out, *([inside.alias("block")] if with_block else []))
+
+            def keys(held: Column) -> Column:
+                def key(j: Column) -> Column:
+                    behind = F.floor(k["c"] / BLOCK_CHARS).cast("int") - j
+                    after = F.when(k["c"] > (j + 1) * BLOCK_CHARS, F.get(held["after"], behind - 1))
+                    return block(k, j, F.xxhash64(k["c"], j, F.get(held["before"], j), after))
+
+                return F.transform(numbers, key)
+
+            return F.transform(F.array(ends), keys)[0]
+
+        def block(k: Column, j: Column, key: Column) -> Column:
+            out = [key.alias("key"), k["short"].alias("short")]
+            return F.struct(*out, *([j.alias("number")] if with_number else []))
 
         return F.flatten(F.transform(F.array(class_of(n, True), class_of(n - 1, False)), blocks_of))
 
@@ -76,6 +105,25 @@ def _blocks(line: Column, with_block: bool = True) -> Column:
     return F.transform(F.array(F.length(line)), of_line)[0]
 
 
+def _chained(text: Column, seed: Column) -> Column:
+    """Hashes of a text's first 0, 1, 2, ... blocks, each made of the one before and one block."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+    def longer(held: Column, piece: Column) -> Column:
+        return F.array_append(held, F.xxhash64(F.element_at(held, -1), piece))
+
+    return F.aggregate(pieces, F.array(seed.cast("long")), longer)
+
+
+def _inside(line: Column, short: Column, number: Column) -> Column:
+    """The text of one block of a line."""
+    n = F.length(line)
+    c = F.when(short, n).otherwise(n - 1)
+    before = F.least(number * _width(c), c)
+    after = F.greatest(c - (number + 1) * _width(c), F.lit(0))
+    return F.substring(line, before + 1, n - before - after)
+
+
 def _identity(line: Column) -> list[Column]:
     """96 bits that stand for the line."""
     return [F.xxhash64(line).alias("_h"), F.hash(line).alias("_g")]
@@ -107,9 +155,11 @@ def _variants(docs: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFr
     found = found.select("_doc", "_row", "_all", F.explode("wanted").alias("w"))
     line = F.element_at("_all", F.col("w._no") + 1)
     found = staged(found.select("_doc", "_row", F.col("w._no").alias("_no"), "w.key", line.alias("line")), "line-texts")
-    mine = found.select(*_LINE, "key", F.explode(_blocks(F.col("line"))).alias("b")).filter(F.col("key") == F.col("b.key"))
-    block, size = F.col("b.block"), F.length("b.block")
-    mine = mine.select("key", F.struct(*_LINE).alias("place"), block.alias("block"), "b.short", size.alias("size"))
+    own = F.filter(_blocks(F.col("line")), lambda b: b["key"] == F.col("key"))
+    mine = found.select(*_LINE, "key", "line", F.explode(own).alias("b"))
+    block = _inside(F.col("line"), F.col("b.short"), F.col("b.number"))
+    mine = mine.select("key", F.struct(*_LINE).alias("place"), block.alias("block"), "b.short")
+    mine = mine.withColumn("size", F.length("block"))
     emitted = mine.withColumn("_at", F.explode(F.sequence(F.lit(-1), F.col("size") - 1)))
     emitted = emitted.filter(F.col("short") | (F.col("_at") >= 0))
     left = F.substring(F.col("block"), F.lit(1), F.col("_at"))
@@ -119,8 +169,29 @@ def _variants(docs: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFr
     return variants, found.select(F.struct(*_LINE).alias("place"), "line").dropDuplicates(["place"])
 
 
-def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
-    """Places of first occurrences that have a distinct line within ``max_edits`` before them."""
+def _within_one(one: Column, two: Column) -> Column:
+    """Whether two lines are within one edit: what follows their common beginning and at most one
+    character of either is the same. The beginning is found by halving, so that a check reads a line
+    a few dozen times at most, where a table of distances grows with the square of its length."""
+    sizes = F.length(one), F.length(two)
+
+    def further(found: Column, step: Column) -> Column:
+        to = found + step
+        same = F.substring(one, F.lit(1), to) == F.substring(two, F.lit(1), to)
+        return F.when((to <= F.least(*sizes)) & same, to).otherwise(found)
+
+    steps = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    begin = F.aggregate(steps, F.lit(0), further)
+
+    def rest(line: Column, own: Column, other: Column, at: Column) -> Column:
+        return F.substring(line, at + 1 + F.when(own >= other, 1).otherwise(0), own)
+
+    same = F.transform(F.array(begin), lambda at: rest(one, *sizes, at) == rest(two, *reversed(sizes), at))[0]
+    return (F.abs(sizes[0] - sizes[1]) <= 1) & same
+
+
+def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Places of first occurrences that have a distinct line within one edit before them."""
     variants, texts = _variants(docs, _candidates(lines, firsts))
     equal, deleted = F.col("_at") < 0, F.col("_at") >= 0
     alike = W.partitionBy("variant")
@@ -140,8 +211,7 @@ def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame, max_edits: int)
     checked = pairs.join(texts, "place").join(
         texts.select(F.col("place").alias("witness"), F.col("line").alias("other")), "witness"
     )
-    distance = F.levenshtein("line", "other", max_edits)
-    return checked.filter((distance >= 0) & (distance <= max_edits)).select("place.*").distinct()
+    return checked.filter(_within_one(F.col("line"), F.col("other"))).select("place.*").distinct()
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -173,14 +243,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1)
         raise ValueError("max_edits is 0 or 1")
     docs = docs.drop("n_lines", "n_removed")
     places = _places(docs, min_chars)
-    keys = _blocks(F.col("_line"), with_block=False)
+    keys = _blocks(F.col("_line"), with_number=False)
     lines = places.select(*_identity(F.col("_line")), *_LINE, *([keys.alias("keys")] if max_edits else []))
     lines = staged(lines, "lines")
     firsts = _earliest(lines)
     again = firsts.filter("n > 1").select("_h", "_g", "first")
     gone = [lines.join(again, ["_h", "_g"]).filter(F.struct(*_LINE) != F.col("first")).select(*_LINE)]
     if max_edits:
-        gone.append(_near(docs, lines, firsts, max_edits))
+        gone.append(_near(docs, lines, firsts))
     removed = reduce(DataFrame.union, gone).groupBy("_doc", "_row").agg(F.collect_set("_no").alias("_gone"))
     whole = docs.withColumns({"_doc": F.col("doc_id"), "_row": _row_key()})
     found = _joined(whole, staged(removed, "lines-gone"), "left")

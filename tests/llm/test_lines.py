@@ -77,3 +77,28 @@ def test_rows_in_every_state(spark):
     assert lines.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):
         lines.dedup_lines(spark.createDataFrame(rows, SCHEMA), max_edits=2)
+
+
+def test_long_lines_equal_all_pairs(spark):
+    """Lengths around whole blocks and around the length from which lines are read in chains."""
+    draw = random.Random(8)
+    rows = []
+    for n in (4095, 4096, 4097, 4351, 4352, 5120, 5121, 9001):
+        base = "".join(draw.choices("abé😀 ", k=n))
+        for at in (0, 1, 255, 256, n // 2, n - 257, n - 256, n - 2, n - 1):
+            change = draw.choice(["x", "", base[at] + "x", "xy"])
+            rows.append((len(rows), base[:at] + change + base[at + 1 :]))
+        rows.append((len(rows), base))
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    found = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame).collect()}
+    assert found == plain(rows, 10, 1)
+    assert 8 < sum(not t for t in found.values()) < len(rows)
+
+
+def test_lines_of_a_megabyte(spark):
+    draw = random.Random(9)
+    line = "".join(draw.choices("abcdé ", k=1_000_000))
+    near = [line[:700_000] + "#" + line[700_001:], line[:10] + line[11:], line + "x", "xy" + line]
+    frame = spark.createDataFrame([(k, text, "x", "y") for k, text in enumerate([line, *near, line[::-1]])], SCHEMA)
+    found = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(frame).collect()}
+    assert found == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
