@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.session import scratch_path
+from gridmart.session import remove_folder, scratch_path
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -15,6 +18,21 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 _CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``staged`` writes inside go when the block ends: what is made of them has to be
+    written by then."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            remove_folder(spark, path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
@@ -23,6 +41,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _temporary:
+        _temporary[-1].append(path)
     before = spark.conf.get(_CLEANED, "false")
     spark.conf.set(_CLEANED, "true")
     try:

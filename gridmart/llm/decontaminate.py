@@ -11,12 +11,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.llm.common import staged
+
 WINDOW = 10
 #: Item words of one automaton; a larger benchmark makes more automata, one pass each.
 AUTOMATON_WORDS = 200_000
@@ -180,8 +183,32 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     Null or empty texts have no words. Items without an id or without words are never found;
     items that repeat an id count once. Columns of ``docs`` of the three names are replaced.
     """
-    spark = docs.sparkSession
     docs = docs.drop("n_words", "hit_spans", "hit_items")
+    parts = load_items(benchmark)
+    if len(parts) == 1:
+        return _searched(docs, parts[0], window)[0]
+    # the driver and the tasks hold one part at a time: its hits are written before the next is fetched
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    hits = []
+    for number, part in enumerate(parts):
+        found, sent = _searched(numbered.select("_row", "text"), part, window)
+        rows = found.select("_row", *_HITS)
+        hits.append(staged(rows if number == 0 else rows.filter(F.size("hit_spans") > 0), "hits"))
+        sent.destroy()
+    every = reduce(DataFrame.unionByName, hits).groupBy("_row").agg(
+        F.max("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("hit_items"),
+    )
+    together = every.mapInArrow(_joined_spans, every.schema)
+    return numbered.join(together, "_row").select(*docs.columns, *_HITS)
+
+
+_HITS = ("n_words", "hit_spans", "hit_items")
+
+
+def _searched(docs: DataFrame, part: DataFrame, window: int):
+    """``docs`` with what one part of the benchmark hits, and the broadcast that holds the part."""
     found = docs.withColumns(
         {
             "n_words": F.lit(0).cast("long"),
@@ -189,11 +216,17 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
             "hit_items": F.array().cast("array<long>"),
         }
     )
-    for part in load_items(benchmark):
-        items = [(r["item_id"], words((r["text"] or "").encode())) for r in part.collect() if r["item_id"] is not None]
-        sent = spark.sparkContext.broadcast(items)
-        found = found.mapInArrow(_pass(sent, window), found.schema)
-    return found
+    items = [(r["item_id"], words((r["text"] or "").encode())) for r in part.collect() if r["item_id"] is not None]
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+    return found.mapInArrow(_pass(sent, window), found.schema), sent
+
+
+def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("hit_spans")
+        spans = [_merged([(s["start"], s["end"]) for s in row]) for row in batch["hit_spans"].to_pylist()]
+        joined = pa.array([[{"start": a, "end": b} for a, b in row] for row in spans], _SPANS)
+        yield batch.set_column(at, batch.schema.field(at).with_type(_SPANS), joined)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -214,15 +247,12 @@ def _pass(sent, window: int):
         matcher = Matcher(sent.value, window)
         for batch in batches:
             counts, spans, items = [], [], []
-            texts = batch["text"].cast(pa.large_binary())
-            before = zip(batch["hit_spans"].to_pylist(), batch["hit_items"].to_pylist(), strict=True)
-            for value, (old, old_items) in zip(texts, before, strict=True):
+            for value in batch["text"].cast(pa.large_binary()):
                 text = words(value.as_py() or b"")
                 new, new_items = matcher.match(text)
-                new += [(s["start"], s["end"]) for s in old]
                 counts.append(len(text))
                 spans.append([{"start": a, "end": b} for a, b in _merged(new)])
-                items.append(sorted(new_items.union(old_items)))
+                items.append(sorted(new_items))
             for name, values, kind in (
                 ("n_words", counts, pa.int64()),
                 ("hit_spans", spans, _SPANS),

@@ -276,20 +276,21 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """``pieces`` (doc_id, piece, length, others) with sequence_id and offset.
 
     Every sequence is filled from 0 without gaps. Pieces of equal length are interchangeable;
-    they are ranked by a hash, then doc_id and piece, in groups that keep a frequent length
-    spread. Lengths run from 1 to ``sequence``. No pieces give no rows.
+    they are ranked in groups that keep a frequent length spread: by a column _row of distinct
+    numbers where there is one, else by all columns. Lengths run from 1 to ``sequence``. No pieces give no rows.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.sparkContext.broadcast(_slots(plan(counts, sequence)))
     groups = max(RANK_GROUPS, -(-sum(counts.values()) // RANKED_ROWS))
-    grouped = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
+    told = ["_row"] if "_row" in pieces.columns else pieces.columns
+    grouped = pieces.withColumn("_group", F.pmod(F.xxhash64(*told), F.lit(groups)).cast("int"))
     sizes = grouped.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = W.partitionBy("length").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     firsts = sizes.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = W.partitionBy("length", "_group").orderBy("doc_id", "piece")
-    ranked = grouped.withColumn("_row", F.row_number().over(own) - 1).join(firsts, ["length", "_group"])
-    ranked = ranked.withColumn("_rank", F.col("_first") + F.col("_row"))
+    own = W.partitionBy("length", "_group").orderBy(*told)
+    ranked = grouped.withColumn("_place", F.row_number().over(own) - 1).join(firsts, ["length", "_group"])
+    ranked = ranked.withColumn("_rank", F.col("_first") + F.col("_place"))
     placed = ranked.withColumn("_place", _place_of(slots)("length", "_rank"))
     return placed.select(*pieces.columns, "_place.sequence_id", "_place.offset")
 
@@ -311,4 +312,7 @@ def _place_of(slots):
 
 def pack_documents(docs: DataFrame, ranks_path: str, sequence: int = SEQUENCE) -> DataFrame:
     """Tokenises ``docs`` once, into a table of pieces in the shared folder, and packs the pieces."""
-    return pack(staged(tokenised_pieces(docs, ranks_path, sequence), "pieces"), sequence)
+    pieces = tokenised_pieces(docs, ranks_path, sequence)
+    # rows that repeat an id, or have none, are told apart by their number
+    numbered = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    return pack(numbered, sequence).drop("_row")

@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -80,5 +81,26 @@ def test_query_cuts_and_packs_every_document(spark):
     found = op9_pattern_packing(spark, folder).collect()
     used = check(found, 2048)
     assert len(used) <= -(-sum(used.values()) // 2048) * 1.05 + 1
-    docs = spark.read.parquet(f"{folder}/documents.parquet").count()
-    assert len({r["doc_id"] for r in found}) == docs
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert len({r["doc_id"] for r in found}) == len(docs)
+    known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = {}
+    for r in found:
+        pieces.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for doc in docs:
+        ids = [*known.encode(doc["text"] or "", add_special_tokens=False).ids, 0]
+        at = 0
+        for k, (piece, start, length, crc) in enumerate(sorted(pieces[doc["doc_id"]])):
+            assert (piece, start) == (k, at) and (length == 2048 or k == 0 or len(ids) <= 2048)
+            assert crc == zlib.crc32(np.array(ids[at : at + length], "<u4").tobytes())
+            at += length
+        assert at == len(ids)
+
+
+def test_rows_without_id_in_bulk(spark):
+    rows = [(None, "one text for all", "")] * 3000 + [(1, "another " * (1 + k % 50), "") for k in range(600)]
+    found = packing.pack_documents(spark.createDataFrame(rows, SCHEMA).repartition(6), ranks_path(), 64)
+    assert found.columns == [*packing.tokenised_pieces(spark.createDataFrame(rows, SCHEMA), ranks_path(), 64).columns, "sequence_id", "offset"]
+    held = found.collect()
+    used = check(held, 64)
+    assert len(held) >= 3600 and len(used) <= 1.05 * sum(used.values()) / 64 + 2
