@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridmart.llm import decontaminate, language, lines, minhash, packing
-from gridmart.llm.common import read, staged
+from gridmart.llm.common import read, staged, temporary
 from gridmart.llm.queries import ranks_path
+from gridmart.session import remove_folder, scratch_path
 
 #: A document stays if at least this share of its words is expected to be of one language.
 LEAST_LANGUAGE_SHARE = 0.5
@@ -45,15 +45,21 @@ def _rewritten(column: str):
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id the one with the smallest text stays; rows without doc_id stay.
+    A row is a document: rows that repeat a doc_id, or have none, are compared by their texts like any
+    others, null ids first; of equal rows one stays.
     """
-    found = minhash.near_duplicates(docs)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    once = W.partitionBy("doc_id").orderBy("text")
-    numbered = left.filter(F.col("doc_id").isNotNull()).withColumn("_copy", F.row_number().over(once))
-    unnamed = left.filter(F.col("doc_id").isNull())
-    return numbered.filter(F.col("_copy") == 1).drop("_copy").unionByName(unnamed)
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if not ids.filter("n > 1 or doc_id is null").isEmpty():
+        # numbered in the order of their ids, so that every row has an id of its own
+        ordered = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text").orderBy("doc_id", F.xxhash64("text"), "text")
+        numbered = staged(ordered.select("doc", F.monotonically_increasing_id().alias("doc_id"), "text"), "numbered")
+        return _without_copies(numbered).select("doc.*")
+    return _without_copies(docs)
+
+
+def _without_copies(docs: DataFrame) -> DataFrame:
+    gone = minhash.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept"))
+    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,8 +87,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to the documents; each reads what the one before has written."""
-    docs = read(spark, sf_dir, "documents")
+    """Applies the stages to the documents; each reads what the one before has written.
+
+    A stage's own tables go when its result is written, and the result when the next stage has
+    read it; the last one's stays.
+    """
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with temporary(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.option("compression", "zstd").parquet(path)
+        if last:
+            remove_folder(spark, last)
+        docs, last = spark.read.schema(found.schema).parquet(path), path
     return docs
