@@ -132,11 +132,12 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check] | None = None)
     return run_checks_together(df, {table: ALL_CHECKS[table] if checks is None else checks})
 
 
-def run_checks_together(df: DataFrame, declared: dict[str, Sequence[Check]]) -> DataFrame:
+def run_checks_together(df: DataFrame, declared: dict[str, Sequence[Check]], stored_ids: bool = False) -> DataFrame:
     """Checks declared under several names for the same rows, such as a table and the view over it.
 
-    All row checks are counted in one aggregate over one scan. Uniqueness needs its own
-    aggregate by value; it counts the values that occur more than once.
+    All row checks are counted in one aggregate over one scan. Uniqueness needs an aggregate of its
+    own; it counts the values that occur more than once. ``stored_ids`` tells that they are read from
+    files and were given out by loads: then their bits are counted first, which shuffles none of them.
     """
     everything = [(table, check) for table, checks in declared.items() for check in checks]
     by_row = [(table, check) for table, check in everything if check.kind != "unique"]
@@ -147,12 +148,29 @@ def run_checks_together(df: DataFrame, declared: dict[str, Sequence[Check]]) ->
         lines = F.array(*[_line(table, check, F.col(f"c{i}")) for i, (table, check) in enumerate(by_row)])
         parts.append(counted.select(F.inline(lines)))
     for table, check in by_value:
-        groups = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).count()
-        repeated = groups.agg(F.count_if(F.col("count") > 1).alias("n"))
+        repeated = repeated_values(df, check.column, stored_ids).agg(F.count(F.lit(1)).alias("n"))
         parts.append(repeated.select(F.inline(F.array(_line(table, check, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def repeated_values(df: DataFrame, column: str, dense: bool = True) -> DataFrame:
+    """Values that occur more than once, NULL left out.
+
+    ``dense`` whole numbers, as loads give them out, are first counted as bits: tasks send a bitmap
+    for each range of 32,768 numbers instead of the numbers. Only ranges that hold more rows than
+    bits are looked at by value, and no value is shuffled where there is no such range. The frame is
+    read up to three times, so it should be a scan.
+    """
+    values = df.filter(F.col(column).isNotNull()).select(column)
+    if dense and values.schema[column].dataType.typeName() in ("long", "integer"):
+        bits = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(column)))
+        ranges = values.groupBy(F.bitmap_bucket_number(column).alias("_range"))
+        full = ranges.agg(F.count(F.lit(1)).alias("n"), bits.alias("bits")).filter("n > bits").select("_range")
+        suspect = values.filter(full.select(F.count(F.lit(1)) > 0).scalar())
+        values = suspect.withColumn("_range", F.bitmap_bucket_number(column)).join(full, "_range", "left_semi")
+    return values.groupBy(column).count().filter("count > 1").select(column)
+
+
 def _line(table: str, check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),

@@ -254,7 +254,7 @@ class Lake:
             declared = {table: checks}
             if table in views:
                 declared[views[table]] = quality.BRONZE_CHECKS[views[table]]
-            parts.append(quality.run_checks_together(self.raw_table(table), declared))
+            parts.append(quality.run_checks_together(self.raw_table(table), declared, stored_ids=True))
         refined = {name: self.staged(name) for name in quality.SILVER_CHECKS}
         refined |= {name: self.mart(name) for name in quality.GOLD_CHECKS}
         return reduce(DataFrame.unionByName, [*parts, quality.quality_report(refined)])

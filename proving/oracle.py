@@ -717,6 +717,7 @@ _TEXTS: dict[str, str] = {
     "u1_replace_delta": _doubles(f"{_merged('late_daily')} m", _MARKET_NUMBERS),
     "u1_recompute_touched": _doubles(f"{_merged(_TOUCHED)} m", _MARKET_NUMBERS),
     "d_raw_quality": _checks(quality.RAW_CHECKS, _RAW_PARTS),
+    "d2_repeated_ids": "select id from raw_market where id % 1009 = 0",
     "d_bronze_quality": _checks(
         quality.BRONZE_CHECKS, {view: _RAW_PARTS[table] for view, table in BRONZE_VIEWS.items()}
     ),

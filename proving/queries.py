@@ -680,6 +680,14 @@ def d_raw_quality(spark, folder):
     return quality.quality_report({t: adapters.raw(spark, folder, t) for t in quality.RAW_CHECKS})
 
 
+@_query
+def d2_repeated_ids(spark, folder):
+    """Ids of readings, some of them stored twice: found by their bits, looked up by value."""
+    readings = adapters.raw(spark, folder, schemas.MARKET).select("id")
+    again = readings.filter(F.col("id") % 1009 == 0)
+    return quality.repeated_values(readings.union(again), "id")
+
+
 @_query
 def d_bronze_quality(spark, folder):
     return quality.quality_report({v: _bronze(spark, folder, v) for v in quality.BRONZE_CHECKS})

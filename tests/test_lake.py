@@ -429,3 +429,15 @@ def test_report_headers(spark, tmp_path):
     write_report(spark.createDataFrame([(1, "x")], "total_gen_twh int, state_code string"), str(tmp_path / "r"))
     (written,) = (tmp_path / "r").glob("*.csv")
     assert written.read_text().splitlines() == ["Total Gen Twh,State Code", "1,x"]
+
+
+def test_repeated_numbers_are_found_by_their_bits(spark):
+    ids = [*range(-40_000, 40_000, 7), 5, 5, 5, -1, 0, 1, 32_768, 32_769, 10**12, 10**12 + 1, 10**12, None, None, -40_000]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").repartition(5)
+    expected = sorted(v for v in {i for i in ids if i is not None} if ids.count(v) > 1)
+    assert sorted(r["id"] for r in quality.repeated_values(rows, "id").collect()) == expected
+    clean = quality.repeated_values(spark.range(100_000), "id")
+    assert clean.count() == 0
+    texts = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "id string")
+    assert [r["id"] for r in quality.repeated_values(texts, "id").collect()] == ["a"]
+
