@@ -1,8 +1,10 @@
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 import pytest
 
 from gridmart.llm import shards
+from gridmart.llm.queries import op10_sampled_splitters
 
 SCHEMA = "id long, group long, size long, shard string, name string"
 
@@ -40,3 +42,23 @@ def test_rows_in_every_state(spark):
     assert len(found) == 4
     check(found, 4)
     assert shards.assign_shards(spark.createDataFrame([], SCHEMA), 4).count() == 0
+
+
+def test_the_query_against_plain_python(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    found = op10_sampled_splitters(spark, folder).collect()
+    plain = Counter((r["doc_id"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in docs)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == plain
+    sizes, slots, shards_of = defaultdict(int), defaultdict(list), defaultdict(set)
+    for r in found:
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        shards_of[r["text_crc32"], r["size"]].add(r["shard"])
+    assert sorted(sizes) == list(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(sizes.values()) / 16
+    assert all(abs(s - mean) <= max(size for _, size, _ in plain) for s in sizes.values())
+    # equal texts stay together but where a range had to be divided
+    assert sum(len(s) > 1 for s in shards_of.values()) <= 15
