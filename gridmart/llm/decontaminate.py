@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -207,18 +208,18 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
 _HITS = ("n_words", "hit_spans", "hit_items")
 
 
+def _search(spark, part: DataFrame, window: int):
+    """What finds the hits of one part of the benchmark in batches, and the broadcast that holds it."""
+    items = [(r["item_id"], words((r["text"] or "").encode())) for r in part.collect() if r["item_id"] is not None]
+    sent = spark.sparkContext.broadcast(items)
+    return _pass(sent, window), sent
+
+
 def _searched(docs: DataFrame, part: DataFrame, window: int):
     """``docs`` with what one part of the benchmark hits, and the broadcast that holds the part."""
-    found = docs.withColumns(
-        {
-            "n_words": F.lit(0).cast("long"),
-            "hit_spans": F.array().cast(FOUND),
-            "hit_items": F.array().cast("array<long>"),
-        }
-    )
-    items = [(r["item_id"], words((r["text"] or "").encode())) for r in part.collect() if r["item_id"] is not None]
-    sent = docs.sparkSession.sparkContext.broadcast(items)
-    return found.mapInArrow(_pass(sent, window), found.schema), sent
+    none = {"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(FOUND), "hit_items": F.array().cast("array<long>")}
+    search, sent = _search(docs.sparkSession, part, window)
+    return docs.mapInArrow(search, docs.withColumns(none).schema), sent
 
 
 def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,14 +254,8 @@ def _pass(sent, window: int):
                 counts.append(len(text))
                 spans.append([{"start": a, "end": b} for a, b in _merged(new)])
                 items.append(sorted(new_items))
-            for name, values, kind in (
-                ("n_words", counts, pa.int64()),
-                ("hit_spans", spans, _SPANS),
-                ("hit_items", items, pa.list_(pa.int64())),
-            ):
-                at = batch.schema.get_field_index(name)
-                batch = batch.set_column(at, batch.schema.field(at).with_type(kind), pa.array(values, kind))
-            yield batch
+            found = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *_HITS])
 
     return run
 
@@ -280,24 +275,28 @@ def decontaminate(
     """
     # the other columns travel in a struct, where the columns that are added cannot cover them
     named = docs.select("text", F.struct(*docs.columns).dropFields("text").alias("_others"))
-    found = find_spans(named, benchmark, window)
-    hits = F.aggregate("hit_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    kept = found.filter(hits <= F.col("n_words") * coverage)
     columns = named.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = batch["hit_spans"].to_pylist()
+            hit = [[(s["start"], s["end"]) for s in spans] for spans in batch["hit_spans"].to_pylist()]
+            most = [n * coverage for n in batch["n_words"].to_pylist()]
             rest = batch.select(columns)
-            if any(hit):
-                texts = batch["text"].to_pylist()
-                for k, spans in enumerate(hit):
-                    if spans:
-                        texts[k] = remove_words(texts[k], [(s["start"], s["end"]) for s in spans], longest)
-                rest = rest.set_column(0, rest.schema.field(0), pa.array(texts, rest.schema.field(0).type))
+            texts = {k: batch["text"][k].as_py() for k, spans in enumerate(hit) if spans}
+            if texts:
+                kept = [sum(b - a for a, b in spans) <= n for spans, n in zip(hit, most, strict=True)]
+                new = [remove_words(texts[k], spans, longest) if spans else None for k, spans in enumerate(hit)]
+                left = pc.if_else(pa.array([bool(s) for s in hit]), pa.array(new, rest["text"].type), rest["text"])
+                rest = rest.set_column(0, rest.schema.field(0), left).filter(pa.array(kept))
             yield rest
 
-    left = kept.mapInArrow(cut, named.schema)
+    parts = load_items(benchmark)
+    if len(parts) > 1:
+        left = find_spans(named, benchmark, window).mapInArrow(cut, named.schema)
+    else:
+        # found and cut by the same worker
+        search, _ = _search(docs.sparkSession, parts[0], window)
+        left = named.mapInArrow(lambda batches: cut(search(batches)), named.schema)
     return left.select(*(c if c == "text" else F.col("_others")[c].alias(c) for c in docs.columns))
 
 
