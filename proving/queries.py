@@ -375,12 +375,23 @@ def s18_report_sheet(spark, folder):
 
 
 PAGE_RECORDS = 200
+# Gzip files are not split: these keep one at about 25 MB of text.
+PAGES_PER_FILE = 1000
+READINGS_PER_FILE = 100_000
 
 
-@_query
-def s7_landed_pages(spark, folder):
-    """Generation landed as page envelopes of some records each, read, normalised and accepted."""
-    rows = adapters.raw(spark, folder, schemas.GENERATION).withColumn("page", F.floor(F.col("id") / PAGE_RECORDS))
+def _land(documents: DataFrame, path: str, per_file: int) -> None:
+    """Adds JSON documents (one text column) to a landing, one to a line, as gzip files."""
+    writer = documents.write.mode("append").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", per_file).text(path)
+
+
+def _generation_pages(rows: DataFrame) -> DataFrame:
+    """Page envelopes of raw generation rows, as JSON text.
+
+    The rows are dealt out by page before they are collected: a list is as long as its rows, so
+    lists made before the shuffle move as much, and large tasks sort and spill them to make them.
+    """
     record = F.struct(
         F.col("period"),
         F.col("state_code").alias("location"),
@@ -392,17 +403,23 @@ def s7_landed_pages(spark, folder):
         F.col("generation_mwh").cast("string").alias("generation"),
         F.col("generation_units").alias("generation-units"),
     )
-    data = F.collect_list(record).alias("data")
-    pages = rows.groupBy("page").agg(data).select(F.struct(F.struct("data").alias("response")).alias("e"))
+    dealt = rows.withColumn("page", F.floor(F.col("id") / PAGE_RECORDS)).repartition("page")
+    pages = dealt.groupBy("page").agg(F.collect_list(record).alias("data"))
+    return pages.select(F.to_json(F.struct(F.struct("data").alias("response"))))
+
+
+@_query
+def s7_landed_pages(spark, folder):
+    """Generation landed as page envelopes of some records each, read, normalised and accepted."""
     path = f"{session.scratch_path(spark, 's7')}/pages"
-    pages.select(F.to_json("e")).write.text(path)
+    _land(_generation_pages(adapters.raw(spark, folder, schemas.GENERATION)), path, PAGES_PER_FILE)
     landed = landing.accepted(landing.normalise_generation(landing.read_pages(spark, path), request_id="fixture"))
     return landed.select(*[c for c in column_names(schemas.GENERATION) if c not in ("id", "ingested_at")])
 
 
 def _land_market(readings: DataFrame, path: str) -> None:
     names = [c for c in column_names(schemas.MARKET) if c not in ("id", "ingested_at", "source")]
-    readings.select(F.to_json(F.struct(*names))).write.mode("append").text(path)
+    _land(readings.select(F.to_json(F.struct(*names))), path, READINGS_PER_FILE)
 
 
 @_query
